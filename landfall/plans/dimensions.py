@@ -29,6 +29,11 @@ def table(warehouse: str, name: str) -> str:
     return f"{warehouse}/{name}"
 
 
+def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame | None:
+    """A full-refresh table's newest content, None before its first load."""
+    return read_snapshot(spark, table(warehouse, name), schemas.TABLES[name])
+
+
 def staged_ports(ports: DataFrame) -> DataFrame:
     """A port without state has an empty field in the file, which reads back as null."""
     return ports.withColumn("state_code", F.coalesce("state_code", F.lit("")))
@@ -44,7 +49,7 @@ def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str)
         return write_snapshot(content, table(warehouse, name))
 
     def current(name: str) -> DataFrame | None:
-        return read_snapshot(spark, table(warehouse, name))
+        return read_table(spark, warehouse, name)
 
     countries = stage(spark, files.countries, schemas.STAGED_COUNTRIES)
     states = stage(spark, files.states, schemas.STAGED_STATES)

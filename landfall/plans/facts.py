@@ -6,21 +6,19 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from landfall.operators import dims, facts
 from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks
-from landfall.plans.dimensions import table
-from landfall.schemas import FACT_ARRIVALS, columns
-from landfall.sinks import read_snapshot, write_days, write_snapshot
+from landfall.plans.dimensions import read_table, table
+from landfall.schemas import FACT_ARRIVALS, TABLES
+from landfall.sinks import write_days, write_snapshot
 from landfall.sources import read_days, tag_rows
 
 LOAD_DATE = "load_date"
 FACT_KEYS = ("arrival_date", LOAD_DATE)
 
-_STORED = columns("""
-    immigration_id bigint, cicid double, citizenship_country_id bigint, residence_country_id bigint, port_id bigint,
-    arrdate double, departure_date date, depdate double, travel_mode_id bigint, age int, gender string,
-    visa_category_id bigint, visatype string, airline string, fltno string, arrival_date date, load_date date""")
+_STORED = StructType([*TABLES["fact_immigration"].fields, StructField(LOAD_DATE, DateType())])
 
 
 def read_facts(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -29,7 +27,7 @@ def read_facts(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def _required(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    found = read_snapshot(spark, table(warehouse, name))
+    found = read_table(spark, warehouse, name)
     if found is None:
         raise ValueError(f"{name} is not loaded yet: run the dimension pipeline first")
     return found
@@ -64,8 +62,7 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
         "dim_country", "dim_states", "dim_ports", "dim_airporttypes", "dim_airports")}
     for name, load in (("dim_travelmodes", dims.dim_modes), ("dim_visacategories", dims.dim_visas),
                        ("dim_time", dims.dim_time)):
-        path = table(warehouse, name)
-        tables[name] = write_snapshot(load(staged, read_snapshot(spark, path)), path)
+        tables[name] = write_snapshot(load(staged, read_table(spark, warehouse, name)), table(warehouse, name))
     enforce(evaluate(dimension_checks(), tables))
 
     lookups = facts.Lookups(tables["dim_country"], tables["dim_ports"], tables["dim_travelmodes"],

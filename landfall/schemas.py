@@ -52,13 +52,30 @@ STAGED_TEMPERATURES = columns("""
     dt string, average_temperature degrees, average_temperature_uncertainty degrees, city string,
     country string, latitude string, longitude string""")
 
-FACT_ARRIVALS = (
-    "immigration_id", "cicid", "citizenship_country_id", "residence_country_id", "port_id", "arrival_date",
-    "arrdate", "departure_date", "depdate", "travel_mode_id", "age", "gender", "visa_category_id", "visatype",
-    "airline", "fltno")
-FACT_DEMOGRAPHICS = (
-    "demographics_id", "city_id", "median_age", "male_population", "female_population", "total_population",
-    "veterans", "foreign_born", "avg_household_size", "race", "count")
+# The model. Keys are BIGINT throughout, as the facts can outgrow INT.
+TABLES = {
+    "dim_country": columns("country_id bigint, country_code string, country_name string"),
+    "dim_states": columns("state_id bigint, state_code string, state_name string"),
+    "dim_ports": columns("port_id bigint, state_id bigint, port_code string, port_name string"),
+    "dim_travelmodes": columns("travel_mode_id bigint, mode string"),
+    "dim_visacategories": columns("visa_category_id bigint, name string"),
+    "dim_airporttypes": columns("airport_type_id bigint, airport_type string"),
+    "dim_time": columns("ts int, year int, month int, day int"),
+    "dim_airports": columns("""
+        airport_id bigint, airport_name string, airport_type_id bigint, state_id bigint, continent string,
+        elevation_ft int, municipality string, gps_code string, iata_code string, local_code string,
+        coordinates string"""),
+    "fact_demographics": columns("""
+        demographics_id bigint, city_id bigint, median_age ratio, male_population int, female_population int,
+        total_population int, veterans int, foreign_born int, avg_household_size ratio, race string, count int"""),
+    "fact_immigration": columns("""
+        immigration_id bigint, cicid double, citizenship_country_id bigint, residence_country_id bigint,
+        port_id bigint, arrival_date date, arrdate double, departure_date date, depdate double,
+        travel_mode_id bigint, age int, gender string, visa_category_id bigint, visatype string, airline string,
+        fltno string"""),
+}
+FACT_ARRIVALS = tuple(TABLES["fact_immigration"].names)
+FACT_DEMOGRAPHICS = tuple(TABLES["fact_demographics"].names)
 
 
 @dataclass(frozen=True)

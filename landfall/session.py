@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # Call sites recorded per column expression cost several round trips to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

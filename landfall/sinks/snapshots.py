@@ -10,25 +10,28 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-_MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+from landfall.schemas import columns
+
+_NUMBER = columns("snapshot int")
 
 
 def newest_snapshot(spark: SparkSession, path: str) -> int:
     """Number of the newest snapshot, 0 before the first load. File names decide, so an empty table counts too."""
     try:
-        files = spark.read.parquet(path).inputFiles()
+        files = spark.read.schema(_NUMBER).parquet(path).inputFiles()
     except AnalysisException as error:
-        if error.getCondition() in _MISSING:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return 0
         raise
     return max((int(re.search(r"/snapshot=(\d+)/", f)[1]) for f in files), default=0)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """The newest content, or None before the first load."""
     number = newest_snapshot(spark, path)
-    return spark.read.parquet(f"{path}/snapshot={number}") if number else None
+    return spark.read.schema(schema).parquet(f"{path}/snapshot={number}") if number else None
 
 
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:

@@ -19,6 +19,9 @@ from landfall.sources import tag_rows
 from landfall.sources.arrivals import ROW_TAG
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 class Testbed:
     """Inputs of the library, built from the tables in ``sf_dir``."""
 
@@ -26,7 +29,12 @@ class Testbed:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table's scan; listing its files and reading its schema happens once per session."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _TABLES:
+            _TABLES[key] = self.spark.read.parquet(path)
+        return _TABLES[key]
 
     def raw_arrivals(self, columns: Iterable[str] = RAW_ARRIVALS.names, tagged: bool = False) -> DataFrame:
         """One arrival per line item. Columns not requested are null, and the tables behind them are not joined."""

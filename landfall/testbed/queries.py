@@ -127,12 +127,13 @@ def sink_partitioned(spark, sf_dir):
 def load_full_refresh(spark, sf_dir):
     """A country table refreshed with a longer list: known members keep their keys."""
     bed, path = Testbed(spark, sf_dir), work_path(spark, "refresh")
+    schema = schemas.TABLES["dim_country"]
     listed = bed.countries()
     write_snapshot(dims.dim_country(listed), path)
     regions = bed.states().select(F.concat(F.lit("R"), "state_code").alias("country_code"),
                                   F.col("state_name").alias("country_name"))
-    write_snapshot(dims.dim_country(listed.unionByName(regions), read_snapshot(spark, path)), path)
-    return read_snapshot(spark, path)
+    write_snapshot(dims.dim_country(listed.unionByName(regions), read_snapshot(spark, path, schema)), path)
+    return read_snapshot(spark, path, schema)
 
 
 def _event_warehouse(spark: SparkSession, sf_dir: str) -> str:

@@ -20,7 +20,7 @@ COUNTED = ("i94cit", "i94res", "i94port", "i94mode", "i94visa", "arrdate")
 
 
 class Star:
-    """Dimension tables and their row counts; facts are derived from the arrivals on each use."""
+    """Dimension tables and their row counts, and the plan (not the rows) of the facts over the arrivals."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.bed = Testbed(spark, sf_dir)
