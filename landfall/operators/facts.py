@@ -69,10 +69,10 @@ def key_facts(facts: DataFrame) -> DataFrame:
     return number_large(facts, order, "immigration_id").select(*FACT_ARRIVALS)
 
 
-def key_facts_by_day(facts: DataFrame, load_date: str) -> DataFrame:
+def key_facts_by_day(facts: DataFrame, load_date: str, path: str | None = None) -> DataFrame:
     """Key a dated load: the load day's number in the upper digits, the position within the day in the lower."""
     order = [load_date, *FACT_ARRIVALS[1:]]
-    numbered = number_large(facts, order, "immigration_id", restart=load_date)
+    numbered = number_large(facts, order, "immigration_id", restart=load_date, path=path)
     base = day_number(F.col(load_date)).cast("bigint") * DAY_KEYS
     return numbered.withColumn("immigration_id", base + F.col("immigration_id")).select(*FACT_ARRIVALS, load_date)
 
@@ -104,6 +104,6 @@ def demographic_rows(staged: DataFrame, ports: DataFrame, states: DataFrame | No
 
 
 def fact_demographics(staged: DataFrame, ports: DataFrame, states: DataFrame | None = None,
-                      port_rows: int | None = None) -> DataFrame:
+                      port_rows: int | None = None, path: str | None = None) -> DataFrame:
     rows = demographic_rows(staged, ports, states, port_rows)
-    return number_large(rows, FACT_DEMOGRAPHICS[1:], "demographics_id")
+    return number_large(rows, FACT_DEMOGRAPHICS[1:], "demographics_id", path=path)

@@ -24,7 +24,7 @@ def number_small(df: DataFrame, order_by: Sequence[str], key: str, start: int =
 
 
 def number_large(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
-                 restart: str | None = None) -> DataFrame:
+                 restart: str | None = None, path: str | None = None) -> DataFrame:
     """The same numbers for any size, without a task that sees all rows.
 
     Rows are range-partitioned by ``order_by`` and written sorted to the shared folder. A row's number is then its
@@ -32,10 +32,11 @@ def number_large(df: DataFrame, order_by: Sequence[str], key: str, start: int =
     executor cannot shift them. Offsets hold one row per file, and there are at most as many files as shuffle
     partitions. A row tag, if ``df`` carries one, is consumed here: it lets a hot group of rows equal in
     ``order_by`` be split, and as copies are interchangeable any split gives the same result. With ``restart``
-    (the leading ordering column) numbering begins anew for each of its values.
+    (the leading ordering column) numbering begins anew for each of its values. The result reads from ``path``,
+    by default a new one below the shared folder.
     """
     spark = df.sparkSession
-    path = work_path(spark, key)
+    path = path or work_path(spark, key)
     content = df.repartitionByRange(*order_by, *tag_of(df)).sortWithinPartitions(*order_by).drop(ROW_TAG)
     content.write.option("maxRecordsPerFile", 0).parquet(path)
     written = spark.read.schema(content.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from landfall import schemas
 from landfall.operators import dims, facts
 from landfall.operators.quality import dimension_checks, enforce, evaluate
+from landfall.session import scratch
 from landfall.sinks import read_snapshot, write_snapshot
 from landfall.sources import stage, tag_rows
 
@@ -66,8 +67,9 @@ def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str)
         "dim_airporttypes", dims.dim_airport_types(airports, current("dim_airporttypes")))
     tables["dim_airports"] = refresh(
         "dim_airports", dims.dim_airports(airports, tables["dim_airporttypes"], tables["dim_states"]))
-    tables["fact_demographics"] = refresh(
-        "fact_demographics", facts.fact_demographics(demographics, tables["dim_ports"]))
+    with scratch(spark, "demographics") as path:
+        tables["fact_demographics"] = refresh(
+            "fact_demographics", facts.fact_demographics(demographics, tables["dim_ports"], path=path))
     report = evaluate(dimension_checks(), tables)
     enforce(report)
     return report

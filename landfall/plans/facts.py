@@ -12,6 +12,7 @@ from landfall.operators import dims, facts
 from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks
 from landfall.plans.dimensions import read_table, table
 from landfall.schemas import FACT_ARRIVALS, TABLES
+from landfall.session import scratch
 from landfall.sinks import write_days, write_snapshot
 from landfall.sources import read_days, tag_rows
 
@@ -67,13 +68,16 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
 
     lookups = facts.Lookups(tables["dim_country"], tables["dim_ports"], tables["dim_travelmodes"],
                             tables["dim_visacategories"])
-    loaded = facts.key_facts_by_day(facts.fact_rows(staged, lookups, keep=(LOAD_DATE,)), LOAD_DATE)
-    write_days(loaded, table(warehouse, "fact_immigration"), FACT_KEYS)
-
-    # Rows of earlier loads were checked when they were loaded; these checks read the rows of this load only.
-    tables["fact_immigration"] = loaded
-    day_check, *others = fact_checks(first)
-    report = _days_report(loaded, first, last).unionByName(evaluate(others, tables))
+    rows = facts.fact_rows(staged, lookups, keep=(LOAD_DATE,))
+    with scratch(spark, "facts") as path:
+        loaded = facts.key_facts_by_day(rows, LOAD_DATE, path)
+        write_days(loaded, table(warehouse, "fact_immigration"), FACT_KEYS)
+        # Rows of earlier loads were checked when they were loaded; these checks read the rows of this load only.
+        tables["fact_immigration"] = loaded
+        others = fact_checks(first)[1:]
+        report = _days_report(loaded, first, last).unionByName(evaluate(others, tables))
+        # One line per day and per check: brought to the driver before the scratch table goes.
+        report = spark.createDataFrame(report.collect(), report.schema)
     enforce(report)
     return report
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/landfall/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A work path that a job removes once its results are written elsewhere."""
+    path = work_path(spark, purpose)
+    try:
+        yield path
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

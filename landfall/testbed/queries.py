@@ -94,10 +94,17 @@ def stage_text_columns(spark, sf_dir):
     return stage(spark, path, text_schema(schemas.STAGED_DEMOGRAPHICS), sep=";")
 
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
 def _event_lake(spark: SparkSession, sf_dir: str) -> str:
-    path = work_path(spark, "lake")
-    lake.load_lake(Testbed(spark, sf_dir).event_arrivals(), path)
-    return path
+    """The lake of the events, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        path = work_path(spark, "lake")
+        lake.load_lake(Testbed(spark, sf_dir).event_arrivals(), path)
+        _LAKES[key] = path
+    return _LAKES[key]
 
 
 @query
@@ -118,8 +125,9 @@ def sink_csv_roundtrip(spark, sf_dir):
 @query
 def sink_partitioned(spark, sf_dir):
     """The lake written twice: the second write replaces the days of the first."""
-    path = _event_lake(spark, sf_dir)
-    write_lake(clean_arrivals(Testbed(spark, sf_dir).event_arrivals()), path)
+    path, cleaned = work_path(spark, "lake"), clean_arrivals(Testbed(spark, sf_dir).event_arrivals())
+    for _ in range(2):
+        write_lake(cleaned, path)
     return read_lake(spark, path)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
+import shutil
 
 import pytest
 
@@ -11,6 +13,7 @@ from landfall.plans import facts as fact_plans
 from landfall.plans.dimensions import DimensionFiles, build_dimensions, read_table
 from landfall.plans.lake import load_lake
 from landfall.schemas import TABLES
+from landfall.session import shared_dir
 from landfall.sinks import write_code_list
 from tests import samples
 from tests.samples import arrival, raw
@@ -37,18 +40,26 @@ def lake(spark, tmp_path_factory):
     return path
 
 
-@pytest.fixture
-def warehouse(spark, tmp_path):
-    files = DimensionFiles(*[str(tmp_path / n) for n in ("countries", "states", "ports", "airports", "demographics")])
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("built")
+    files = DimensionFiles(*[str(folder / n) for n in ("countries", "states", "ports", "airports", "demographics")])
     write_code_list(samples.countries(spark), files.countries)
     write_code_list(samples.states(spark), files.states)
     write_code_list(samples.ports(spark), files.ports)
     write_code_list(airports(spark), files.airports)
     write_code_list(samples.demographics(spark), files.demographics, sep=";")
-    root = str(tmp_path / "warehouse")
-    report = build_dimensions(spark, files, root)
+    report = build_dimensions(spark, files, str(folder / "warehouse"))
     assert report.count() == 7
-    return root, files
+    return folder
+
+
+@pytest.fixture
+def warehouse(built, tmp_path):
+    """A copy of the built dimensions and their files, for one test to change."""
+    shutil.copytree(built, tmp_path / "copy")
+    names = ("countries", "states", "ports", "airports", "demographics")
+    return str(tmp_path / "copy" / "warehouse"), DimensionFiles(*[str(tmp_path / "copy" / n) for n in names])
 
 
 def content(spark, root):
@@ -64,12 +75,16 @@ def test_repeating_a_day_changes_nothing(spark, lake, warehouse):
     assert len(once) == 11
     fact_plans.run_day(spark, lake, root, FIRST)
     assert content(spark, root) == once
+    assert {r["gender"] for r in fact_plans.read_facts(spark, root).collect()} == {"F"}
+    # Nothing is left behind in the shared folder.
+    left = pathlib.Path(shared_dir(spark), "landfall")
+    assert not [p for p in left.iterdir() if p.name.startswith(("facts-", "demographics-"))]
 
 
 def test_a_range_is_the_union_of_its_days_in_any_order(spark, lake, warehouse, tmp_path):
-    root, files = warehouse
+    root, _ = warehouse
     other = str(tmp_path / "other")
-    build_dimensions(spark, files, other)
+    shutil.copytree(root, other)
     fact_plans.run_range(spark, lake, root, FIRST, LAST)
     for day in (LAST, FIRST, FIRST + datetime.timedelta(days=1)):
         fact_plans.run_day(spark, lake, other, day)
