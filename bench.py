@@ -19,7 +19,7 @@ from landfall.testbed.star import star
 
 HEADLINE = (
     "q_port_state", "q_country", "q_purpose", "q_population", "count_by_dims", "count_by_places", "fact_arrivals",
-    "fact_rejects", "fact_demographics", "clean_arrival_rows", "dim_time", "dim_airports", "key_fact",
+    "fact_rejects", "fact_demographics", "clean_arrivals", "dim_time", "dim_airports", "key_fact",
     "labels_ports", "stage_day_partition", "sink_partitioned", "load_backfill", "dq_nulls", "dq_orphans",
     "dq_not_null_len")
 

@@ -50,7 +50,7 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 @contextlib.contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A work path that a job removes once its results are written elsewhere."""
-    path = work_path(spark, purpose)
+    path = work_path(spark, f"scratch-{purpose}")
     try:
         yield path
     finally:

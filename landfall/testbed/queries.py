@@ -12,7 +12,7 @@ from landfall import schemas
 from landfall.functions import decode_mode, decode_visa, region_state, sas_date, sas_day, to_int
 from landfall.operators import counts, dims, facts, keys, labels, quality
 from landfall.operators.clean import clean_arrivals
-from landfall.plans import dimensions, lake
+from landfall.plans import dimensions, lake, views
 from landfall.plans import facts as fact_plans
 from landfall.session import work_path
 from landfall.sinks import read_snapshot, write_code_list, write_lake, write_snapshot
@@ -31,9 +31,16 @@ SECOND_EVENT_DAY = datetime.date(2024, 1, 2)
 ARRIVAL_DAY = datetime.date(1995, 3, 1)
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+def query(name: str | Query) -> Query | Callable[[Query], Query]:
+    """Register a query under its function's name, or under ``name`` where that is an operator's."""
+    if callable(name):
+        QUERIES[name.__name__] = name
+        return name
+
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+    return register
 
 
 # ---- sources ----
@@ -213,7 +220,7 @@ def labels_all_formats(spark, sf_dir):
 
 # ---- scalar functions and cleaning ----
 
-@query
+@query("sas_date")
 def sas_dates(spark, sf_dir):
     """Whole, fractional, negative and missing day numbers."""
     days = (F.col("l_linenumber") * 1000 - F.col("l_quantity") * 100 + F.col("l_discount") * 10)
@@ -222,7 +229,7 @@ def sas_dates(spark, sf_dir):
         sas_date(F.when(F.col("l_returnflag") != "N", days)).alias("day_date"))
 
 
-@query
+@query("sas_day")
 def sas_days(spark, sf_dir):
     raw = Testbed(spark, sf_dir).raw_arrivals(["cicid", "arrdate", "depdate"])
     return raw.select("cicid", sas_day(F.col("arrdate")).alias("arrival_day"),
@@ -239,21 +246,21 @@ def cast_codes(spark, sf_dir):
         to_int(balance * 1e6).alias("in_range"))
 
 
-@query
+@query("decode_visa")
 def decode_visas(spark, sf_dir):
     raw = Testbed(spark, sf_dir).raw_arrivals(["i94visa"])
     return raw.groupBy("i94visa", decode_visa(F.col("i94visa")).alias("visa_category")).agg(
         F.count(F.lit(1)).alias("arrivals"))
 
 
-@query
+@query("decode_mode")
 def decode_modes(spark, sf_dir):
     raw = Testbed(spark, sf_dir).raw_arrivals(["i94mode"])
     return raw.groupBy("i94mode", decode_mode(F.col("i94mode")).alias("travel_mode")).agg(
         F.count(F.lit(1)).alias("arrivals"))
 
 
-@query
+@query("clean_arrivals")
 def clean_arrival_rows(spark, sf_dir):
     return clean_arrivals(Testbed(spark, sf_dir).raw_arrivals())
 
@@ -411,6 +418,31 @@ def count_by_places(spark, sf_dir):
                            states=s.states)
 
 
+@query
+def sql_port_state(spark, sf_dir):
+    """The same questions asked in SQL over views of the model."""
+    views.register(_model(spark, sf_dir))
+    return views.ask(spark, "port_and_state", YEAR, list(MONTHS))
+
+
+@query
+def sql_country(spark, sf_dir):
+    views.register(_model(spark, sf_dir))
+    return views.ask(spark, "country", YEAR, list(MONTHS))
+
+
+@query
+def sql_purpose(spark, sf_dir):
+    views.register(_model(spark, sf_dir))
+    return views.ask(spark, "purpose", YEAR, list(MONTHS))
+
+
+@query
+def sql_population(spark, sf_dir):
+    views.register(_model(spark, sf_dir))
+    return views.ask(spark, "population", YEAR, list(MONTHS))
+
+
 # ---- quality ----
 
 def _model(spark: SparkSession, sf_dir: str, columns=COUNTED) -> dict[str, DataFrame]:

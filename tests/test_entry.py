@@ -34,7 +34,7 @@ def test_entry(spark):
     assert df.columns == ["port_name", "state_name", "immigrant_count"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["clean_arrival_rows", "fact_arrivals", "labels_ports", "q_population", "dim_time"])
+@pytest.mark.parametrize("name", ["clean_arrivals", "fact_arrivals", "labels_ports", "q_population", "dim_time"])
 def test_no_python_in_the_plan(spark, name):
     plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
