@@ -20,7 +20,10 @@ DAY_KEYS = 10 ** 12
 
 @dataclass
 class Lookups:
-    """The five dimensions an arrival is resolved against; ``rows`` holds their sizes where already counted."""
+    """The dimensions an arrival is resolved against (countries in two roles).
+
+    ``rows`` holds the sizes of ``country`` and ``ports`` where they have been counted already.
+    """
 
     country: DataFrame
     ports: DataFrame
@@ -82,7 +85,7 @@ def fact_rejects(arrivals: DataFrame, lookups: Lookups) -> DataFrame:
     keys = ("citizenship_country_id", "residence_country_id", "port_id", "travel_mode_id", "visa_category_id")
     missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(r)) for r, k in zip(ROLES, keys)])
     return (resolve(arrivals, lookups, "left")
-            .where(~(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys))))
+            .where(F.greatest(*[F.col(k).isNull() for k in keys]))
             .groupBy(missing.alias("missing")).agg(F.count(F.lit(1)).alias("arrivals")))
 
 

@@ -40,13 +40,13 @@ def number_large(df: DataFrame, order_by: Sequence[str], key: str, start: int =
     content = df.repartitionByRange(*order_by, *tag_of(df)).sortWithinPartitions(*order_by).drop(ROW_TAG)
     content.write.option("maxRecordsPerFile", 0).parquet(path)
     written = spark.read.schema(content.schema).parquet(path)
-    placed = written.select(
-        "*",
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"))
+    placed = written.select("*", F.col("_metadata.file_name").alias("_file"),
+                            F.col("_metadata.row_index").alias("_row"))
 
     sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # File names carry the partition number, whose digits may outgrow their padding.
+    part = F.regexp_extract("_file", r"part-(\d+)", 1).cast("int")
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_file").withColumn(key, F.col("_offset") + F.col("_row") + 1)
     if restart:

@@ -39,43 +39,52 @@ def block_rows(blocks: DataFrame) -> DataFrame:
             .select("source", "pos", parts.getItem(0).alias("code_part"), parts.getItem(1).alias("label_part")))
 
 
+def _code(tidy: bool) -> Column:
+    """A quoted code; blanks inside its quotes stay unless ``tidy``."""
+    code = unquote(strip(F.col("code_part")))
+    return strip(code) if tidy else code
+
+
 def extract_states(dictionaries: DataFrame, key: str = STATE_BLOCK) -> DataFrame:
     """``source``, ``pos``, ``state_code``, ``state_name``; stripped first, then quotes removed."""
     return block_rows(extract_block(dictionaries, key)).select(
         "source", "pos",
-        unquote(strip(F.col("code_part"))).alias("state_code"),
+        _code(tidy=False).alias("state_code"),
         unquote(strip(F.col("label_part"))).alias("state_name"))
 
 
-def extract_countries(dictionaries: DataFrame, key: str = COUNTRY_BLOCK) -> DataFrame:
-    """``source``, ``pos``, ``country_code``, ``country_name``; the first row's name is its first word only."""
+def extract_countries(dictionaries: DataFrame, key: str = COUNTRY_BLOCK, tidy: bool = False) -> DataFrame:
+    """``source``, ``pos``, ``country_code``, ``country_name``; the first row's name is its first word only.
+
+    Blanks inside a name's quotes stay, as stripping precedes the removal of quotes; ``tidy`` drops them too.
+    """
     name = unquote(strip(F.col("label_part")))
+    name = strip(name) if tidy else name
     return block_rows(extract_block(dictionaries, key)).select(
         "source", "pos",
         strip(F.col("code_part")).alias("country_code"),
         F.when(F.col("pos") == 1, F.substring_index(name, " ", 1)).otherwise(name).alias("country_name"))
 
 
-def extract_ports(dictionaries: DataFrame, key: str = PORT_BLOCK, last_comma: bool = False) -> DataFrame:
+def extract_ports(dictionaries: DataFrame, key: str = PORT_BLOCK, last_comma: bool = False,
+                  tidy: bool = False) -> DataFrame:
     """``source``, ``pos``, ``port_code``, ``port_name``, ``state_code``.
 
     The label reads ``name, state``. The name ends at the first comma and the state is the first word after it, or
     empty without a comma. With ``last_comma`` the label is cut at its last comma instead, which keeps the state
-    of names that hold commas themselves.
+    of names that hold commas themselves. ``tidy`` drops blanks inside a code's quotes.
     """
-    pieces = F.split("label_part", ",")
+    label = F.col("label_part")
     if last_comma:
-        has_comma = F.size(pieces) > 1
-        state_piece = F.when(has_comma, F.element_at(pieces, -1))
-        name_piece = F.when(has_comma, F.array_join(F.slice(pieces, F.lit(1), F.greatest(
-            F.size(pieces) - 1, F.lit(1))), ",")).otherwise(F.col("label_part"))
+        name_piece = F.regexp_replace(label, ",[^,]*$", "")
+        state_piece = F.when(F.contains(label, F.lit(",")), F.substring_index(label, ",", -1))
     else:
-        name_piece = pieces.getItem(0)
-        state_piece = F.try_element_at(pieces, F.lit(2))
+        name_piece = F.substring_index(label, ",", 1)
+        state_piece = F.try_element_at(F.split(label, ","), F.lit(2))
     state = F.substring_index(unquote(strip(state_piece)), " ", 1)
     return block_rows(extract_block(dictionaries, key)).select(
         "source", "pos",
-        unquote(strip(F.col("code_part"))).alias("port_code"),
+        _code(tidy).alias("port_code"),
         strip(unquote(strip(name_piece))).alias("port_name"),
         F.coalesce(strip(state), F.lit("")).alias("state_code"))
 

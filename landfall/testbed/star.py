@@ -24,6 +24,7 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.bed = Testbed(spark, sf_dir)
+        self._plans: dict[tuple, DataFrame] = {}
         root = work_path(spark, "star")
 
         def keep(name: str, content: DataFrame) -> DataFrame:
@@ -40,12 +41,25 @@ class Star:
                                 "types": self.types})
         self.lookups = facts.Lookups(self.country, self.ports, self.modes, self.visas, self.rows)
 
-    def cleaned(self, columns: Iterable[str] = RAW_ARRIVALS.names, tagged: bool = False) -> DataFrame:
+    def _plan(self, make, *key) -> DataFrame:
+        if (make, *key) not in self._plans:
+            self._plans[(make, *key)] = make(*key)
+        return self._plans[(make, *key)]
+
+    def _cleaned(self, columns: tuple[str, ...], tagged: bool) -> DataFrame:
         return clean_arrivals(self.bed.raw_arrivals(columns, tagged), (ROW_TAG,) if tagged else ())
 
-    def fact(self, columns: Iterable[str] = RAW_ARRIVALS.names, tagged: bool = False) -> DataFrame:
+    def _fact(self, columns: tuple[str, ...], tagged: bool) -> DataFrame:
         return facts.fact_rows(self.cleaned(columns, tagged), self.lookups)
 
+    def cleaned(self, columns: Iterable[str] = RAW_ARRIVALS.names, tagged: bool = False) -> DataFrame:
+        """Cleaned arrivals as a plan, described once and computed on each use."""
+        return self._plan(self._cleaned, tuple(columns), tagged)
+
+    def fact(self, columns: Iterable[str] = RAW_ARRIVALS.names, tagged: bool = False) -> DataFrame:
+        """Fact rows, likewise."""
+        return self._plan(self._fact, tuple(columns), tagged)
+
     def demographics(self) -> DataFrame:
         return facts.demographic_rows(self.bed.demographics(), self.ports, port_rows=self.rows["ports"])
 

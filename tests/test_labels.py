@@ -100,6 +100,11 @@ def test_ports_cut_at_the_last_comma(dictionaries):
     assert found[1:3] == [("MAP", "MARKET AZ", ""), ("BLT", "POINT, HWY. STATION", "CA")]
 
 
+def test_tidy_drops_blanks_inside_quotes(dictionaries):
+    assert rows(extract_ports(dictionaries, tidy=True), "port_code")[-1] == ("CP",)
+    assert rows(extract_countries(dictionaries, tidy=True), "country_name")[2] == ("TRAILING",)
+
+
 def test_all_formats(dictionaries):
     found = extract_labels(dictionaries)
     counted = {r["format_name"]: r["count"] for r in found.groupBy("format_name").count().collect()}
