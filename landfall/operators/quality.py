@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.schemas import MODEL
+from landfall.sizing import is_small, row_counts
 
 
 @dataclass(frozen=True)
@@ -113,31 +114,44 @@ def unique_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def _orphans_of_small(df: DataFrame, references: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Orphans per reference (``n0, n1, ...``) in one pass: each key set is broadcast and marks its rows."""
+    marked, counted = df.select(*dict.fromkeys(c for c, _ in references)), []
+    for i, (column, known) in enumerate(references):
+        side = known.select(F.col("key").alias(f"k{i}"), F.lit(True).alias(f"found{i}"))
+        marked = marked.join(F.broadcast(side), F.col(column) == F.col(f"k{i}"), "left")
+        counted.append(F.count_if(F.col(column).isNotNull() & F.col(f"found{i}").isNull()).alias(f"n{i}"))
+    return marked.groupBy().agg(*counted)
+
+
+def _orphans_of_large(df: DataFrame, column: str, known: DataFrame) -> DataFrame:
+    """Orphans of one reference (``n0``): keys are counted first, and only the counts are shuffled to the key set."""
+    used = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    return used.join(known, "key", "left_anti").groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n0"))
+
+
 def orphan_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Per declared reference: rows whose non-null key is missing from the referenced table.
 
-    A table is scanned once for all its references: its keys are counted per reference and value, and only those
-    counts meet the referenced keys.
+    All references of a table to small tables are checked in one pass without a shuffle.
     """
+    referenced = {(other, key) for table in tables for _, other, key in MODEL[table].references}
+    known = {ref: tables[ref[0]].select(F.col(ref[1]).alias("key")).where(F.col("key").isNotNull()).distinct()
+             for ref in referenced}
+    sizes = row_counts({other: tables[other] for other, _ in referenced})
+
     reports = []
     for table, df in tables.items():
         references = MODEL[table].references
-        if not references:
-            continue
-        pairs = F.array(*[F.struct(F.lit(i).alias("ref"), F.col(c).cast("bigint").alias("value"))
-                          for i, (c, _, _) in enumerate(references)])
-        used = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-                .groupBy("ref", "value").agg(F.count(F.lit(1)).alias("n")))
-        known = reduce(DataFrame.unionByName, [
-            tables[other].select(F.lit(i).alias("ref"), F.col(key).cast("bigint").alias("value"))
-            for i, (_, other, key) in enumerate(references)])
-        per_ref = (used.join(known, ["ref", "value"], "left_anti")
-                   .groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("ref") == i, F.col("n"))), F.lit(0)).alias(f"n{i}")
-                                    for i in range(len(references))]))
-        reports.append(per_ref.select(F.inline(F.array(*[
-            F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                     F.lit(other).alias("referenced_table"), F.col(f"n{i}").alias("orphans"))
-            for i, (c, other, _) in enumerate(references)]))))
+        small = [r for r in references if is_small(tables[r[1]], sizes[r[1]])]
+        passes = [(small, _orphans_of_small(df, [(c, known[other, key]) for c, other, key in small]))] if small else []
+        passes += [([r], _orphans_of_large(df, r[0], known[r[1], r[2]])) for r in references if r not in small]
+        for covered, counted in passes:
+            reports.append(counted.select(F.inline(F.array(*[
+                F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
+                         F.lit(other).alias("referenced_table"), F.col(f"n{i}").alias("orphans"))
+                for i, (c, other, _) in enumerate(covered)]))))
     return reduce(DataFrame.unionByName, reports)
 
 

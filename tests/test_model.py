@@ -177,7 +177,10 @@ def test_unique_report_lists_repeats(model):
     assert set(found.values()) == {(0, 0)} and ("fact_immigration", "immigration_id") in found
 
 
-def test_orphan_report(model):
+@pytest.mark.parametrize("small", [True, False])
+def test_orphan_report(model, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(sizing, "SMALL_ROWS", 0)
     tables = quality_tables(model)
     assert {r["orphans"] for r in quality.orphan_report(tables).collect()} == {0}
     tables["dim_ports"] = model["ports"].where("port_code <> 'AAA'")
