@@ -1,7 +1,8 @@
 """Broadcast hints that are given only when a bound on the side's size has been checked.
 
 A lookup side is hinted when it is known to hold at most ``SMALL_ROWS`` rows. Anything larger is left unhinted,
-so Catalyst plans a sort-merge join and AQE may split its skewed partitions.
+so Catalyst plans a sort-merge join and AQE may split its skewed partitions. Hinted sides are projected to a key and
+a code or name of at most about a hundred characters, so the bound on rows also bounds the broadcast, to some 30 MB.
 """
 
 from __future__ import annotations
