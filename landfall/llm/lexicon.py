@@ -13,28 +13,38 @@ import mmap
 import os
 import re
 import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import annotate, slices, values
-from landfall.llm.tokens import BYTE_BPE, SPACES, WITH_SPACE, tokenizer_path
+from landfall.llm.tokens import BYTE_BPE, SPACES, WITH_SPACE, marked, tokenizer_path
+from landfall.session import work_path
 
 LEXICON_WORDS = 131_072
-KEPT_UNITS = 400_000
-COUNTED_AT_ONCE = 400_000
+KEPT_UNITS = 250_000
+COUNTED_AT_ONCE = 300_000
 
 # How the byte-level tokenizer cuts a text into words before merging (a fixed format).
 PRETOKEN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACES}\p{{L}}\p{{N}}]+"
                          rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
 
+NO_RANK = 1 << 40
+
+
+def cut(unit: str) -> list[str]:
+    """The words of a unit of text."""
+    return [x for x in m if x] if (m := marked(unit)) else PRETOKEN.findall(unit)
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -53,7 +63,7 @@ class Bpe:
         if any(re.search(f"[{SPACES}]", s) for s in self.special):
             raise ValueError("special tokens with white space are not supported")
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.of_byte = [0] * 256
+        self.of_byte = np.zeros(256, np.int64)
         self.bytes = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
         for token, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in token)
@@ -61,29 +71,45 @@ class Bpe:
                 self.of_byte[letters[token]] = i
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)  # by rank
+        self.rank = np.argsort(keys)
+        self.pair = keys[self.rank]
 
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: the adjacent pair of lowest rank is merged, wherever it stands, until none is left.
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words, as little-endian 32-bit numbers: in each word the adjacent pair of lowest rank is merged,
+        wherever it stands, until no pair has a rank; all words go through this side by side.
 
         A merge's product takes part in later-ranked pairs only, so all places of a pair can be merged in one sweep.
         """
-        ids, none = [self.of_byte[b] for b in word], (len(self.ranks), 0)
-        while len(ids) > 1:
-            rank, made = min([self.ranks.get(p, none) for p in zip(ids, ids[1:])])
-            if rank == none[0]:
-                break
-            out, i, last = [], 0, len(ids) - 1
-            while i <= last:
-                if i < last and self.ranks.get((ids[i], ids[i + 1]), none)[0] == rank:
-                    out.append(made)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
+        out = [b""] * len(words)
+        number = np.array([i for i, w in enumerate(words) if w], np.int64)
+        size = np.array([len(words[i]) for i in number], np.int64)
+        symbols = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        while len(number):
+            start = np.cumsum(size) - size
+            rank = np.full(len(symbols), NO_RANK, np.int64)
+            key = symbols[:-1] << 32 | symbols[1:]
+            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+            found = np.flatnonzero(self.pair[at] == key)
+            rank[found] = self.rank[at[found]]
+            rank[start + size - 1] = NO_RANK  # a word's last symbol begins no pair
+            lowest = np.minimum.reduceat(rank, start)
+            for i in np.flatnonzero(lowest == NO_RANK):
+                out[number[i]] = symbols[start[i]:start[i] + size[i]].astype("<i4").tobytes()
+            going = lowest < NO_RANK
+            word = np.repeat(np.arange(len(number)), size)
+            here = (rank == lowest[word]) & (rank < NO_RANK)
+            # Of places next to each other (a run of one symbol), every second one merges, from the left.
+            place = np.arange(len(here))
+            run = place - np.maximum.accumulate(np.where(here, 0, place + 1))
+            here &= run % 2 == 0
+            symbols[here] = self.made[rank[here]]
+            keep = np.repeat(going, size) & ~np.append(False, here[:-1])
+            size = np.bincount(word[keep], minlength=len(number))[going]
+            symbols, number = symbols[keep], number[going]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -145,9 +171,9 @@ def compile_lexicon(words: Iterable[str], bpe: Bpe) -> bytes:
     """The transducer of ``words`` with their ids as one block of bytes: a header of JSON, then the arrays."""
     coded = sorted({w.encode() for w in words})
     arrays = Automaton(coded).arrays()
-    ids = [bpe.merge(w) for w in coded]
-    arrays["first"] = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-    arrays["ids"] = np.array([i for own in ids for i in own], np.int32)
+    ids = bpe.merge(coded)
+    arrays["first"] = np.cumsum([0, *map(len, ids)]).astype(np.int32) // 4
+    arrays["ids"] = np.frombuffer(b"".join(ids), np.int32)
     at, parts, header = 0, [], {}
     for name in NAMES:
         data = arrays[name].tobytes()
@@ -170,17 +196,10 @@ class Lexicon:
 
     @classmethod
     def map(cls, block: bytes) -> Lexicon:
-        """Through a file in the executor's own temporary folder, named by its content and shared by its workers.
-
-        The file is a few MB and made again from the broadcast block wherever it is missing.
-        """
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(block).hexdigest()[:32]}")
-        if not os.path.exists(path):
-            own = f"{path}-{uuid.uuid4().hex}"
-            with open(own, "wb") as f:
-                f.write(block)
-            os.replace(own, path)
-        with open(path, "rb") as f:
+        """Through an unnamed file in the executor's own temporary folder, which goes with the worker."""
+        with tempfile.TemporaryFile() as f:
+            f.write(block)
+            f.flush()
             return cls(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -222,41 +241,60 @@ class Encoder:
         self.words: dict[str, bytes] = {}
 
     def _learn(self, units: set[str]) -> None:
-        bpe, cut = self.bpe, {}
+        bpe, words_of = self.bpe, {}
         for unit in units:
-            parts = bpe.split_special.split(unit) if bpe.split_special else [unit]
-            cut[unit] = [w for i, p in enumerate(parts) for w in ([p] if i % 2 else PRETOKEN.findall(p))]
-        new = list({w for words in cut.values() for w in words}.difference(self.words))
+            if bpe.split_special and bpe.split_special.search(unit):
+                parts = bpe.split_special.split(unit)
+                words_of[unit] = [w for i, p in enumerate(parts) for w in ([p] if i % 2 else PRETOKEN.findall(p))]
+            else:
+                words_of[unit] = cut(unit)
+        new = list({w for words in words_of.values() for w in words}.difference(self.words))
         coded = [w.encode("utf-8", "replace") for w in new]
-        for word, code, number in zip(new, coded, self.lexicon.numbers(coded).tolist()):
+        unseen = []
+        for word, number in zip(new, self.lexicon.numbers(coded).tolist()):
             if word in bpe.special:
                 self.words[word] = np.array([bpe.special[word]], "<i4").tobytes()
             elif number >= 0:
                 self.words[word] = self.lexicon.ids_of(number)
             else:
-                self.words[word] = np.array(bpe.merge(code), "<i4").tobytes()
-        for unit, words in cut.items():
-            self.units[unit] = b"".join(map(self.words.__getitem__, words))
+                unseen.append(word)
+        self.words.update(zip(unseen, bpe.merge([w.encode("utf-8", "replace") for w in unseen])))
+        get = self.words.__getitem__
+        for unit, words in words_of.items():
+            self.units[unit] = b"".join(map(get, words))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [WITH_SPACE.findall(t) for t in texts]
-        every = set().union(*cut)
-        if len(self.units) + len(self.words) + len(every) > KEPT_UNITS:
-            self.units, self.words = {}, {}
-        self._learn(every.difference(self.units))
+        units_of = [WITH_SPACE.findall(t) for t in texts]
+        every = set().union(*units_of)
+        new = every.difference(self.units)
+        if len(self.units) + len(new) > KEPT_UNITS:
+            self.units, new = {}, every
+        if len(self.words) > KEPT_UNITS:
+            self.words = {}
+        self._learn(new)
         get = self.units.__getitem__
-        return [np.frombuffer(b"".join(map(get, units)), "<i4") for units in cut]
+        return [np.frombuffer(b"".join(map(get, units)), "<i4") for units in units_of]
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, digest: str, block: Broadcast) -> Encoder:
+    """The encoder of this Python worker, which goes on to the worker's next task with what it has learned."""
+    return Encoder(Bpe(path), Lexicon.map(block.value))
 
 
 def frequent_words(df: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
-    """The ``most`` commonest words of all texts, ties in order of the words. Tasks add up before the shuffle."""
+    """The commonest words of all texts: all from some count upwards, so many as ``most`` allows.
+
+    Tasks add up before the shuffle. The counts are written once; the least count comes from a histogram of some
+    hundred powers of 2 ** (1/8), so that only the words themselves, ``most`` at the most, reach the driver.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units: Counter = Counter()
 
         def out() -> pa.RecordBatch:
             words: Counter = Counter()
             for unit, n in units.items():
-                for w in PRETOKEN.findall(unit):
+                for w in cut(unit):
                     words[w] += n
             return pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()),
                                                "n": pa.array(list(words.values()), pa.int64())})
@@ -269,8 +307,20 @@ def frequent_words(df: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
                     units = Counter()
         yield out()
 
-    counts = df.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).select("word").collect()]
+    spark, path = df.sparkSession, work_path(df.sparkSession, "words")
+    (df.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+     .where("n > 1").write.parquet(path))
+    counts = spark.read.parquet(path)
+    power = F.floor(F.log2("n") * 8).cast("int")
+    total, least = 0, None
+    for row in counts.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        least = row["power"]
+    if least is None:
+        return []
+    return [r["word"] for r in counts.where(power >= least).select("word").collect()]
 
 
 def encode(df: DataFrame, tokenizer: str | None = None, most: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
@@ -280,16 +330,17 @@ def encode(df: DataFrame, tokenizer: str | None = None, most: int = LEXICON_WORD
     counts as empty. The file's special tokens are taken whole where a text has them. Rows are encoded one by one, so
     repeated rows stay; columns of ``df`` with these names are replaced; an empty table gives no rows.
 
-    Words are counted over all texts; the ``most`` commonest make the lexicon, a block of a few MB at the default, which
+    Words are counted over all texts; the commonest, ``most`` at most, make the lexicon, a block of a few MB at the default, which
     is broadcast. It decides the speed only: what it lacks is merged to the same ids.
     """
     path = tokenizer or tokenizer_path(BYTE_BPE)
     words = frequent_words(df, most)
-    shared = df.sparkSession.sparkContext.broadcast(compile_lexicon(words, Bpe(path)))
+    block = compile_lexicon(words, Bpe(path))
+    shared, digest = df.sparkSession.sparkContext.broadcast(block), hashlib.sha256(block).hexdigest()
 
     def make():
-        bpe = Bpe(path)
-        encoder = Encoder(bpe, Lexicon.map(shared.value))
+        encoder = worker_encoder(path, digest, shared)
+        bpe = encoder.bpe
         number = [str(i) for i in range(len(bpe.bytes))]
 
         def work(part: pa.RecordBatch) -> dict:

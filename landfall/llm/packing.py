@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import slices, values
-from landfall.llm.tokens import WORD_BPE, UnitEncoder, tokenizer_path
+from landfall.llm.tokens import WORD_BPE, encoder, tokenizer_path
 from landfall.session import work_path
 
 CAPACITY = 4096
@@ -138,12 +138,12 @@ def cut(df: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: boo
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = UnitEncoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             for some in slices(batch, "text"):
                 doc, number, start, length, crc, rank, ids = [], [], [], [], [], [], []
-                for i, text_ids in enumerate(encoder.encode(values(some, "text", ""))):
+                for i, text_ids in enumerate(encode(values(some, "text", ""))):
                     text_ids += end
                     for k, at in enumerate(range(0, len(text_ids), 4 * capacity)):
                         own = text_ids[at:at + 4 * capacity]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import slices, values
-from landfall.llm.tokens import BYTE_BPE, UnitEncoder, tokenizer_path
+from landfall.llm.tokens import BYTE_BPE, encoder, tokenizer_path
 
 MAGIC = b"idplane1"
 CHUNK = 1 << 16
@@ -148,7 +148,7 @@ def write(df: DataFrame, path: str, tokenizer: str | None = None, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, n, docs, writer = UnitEncoder(tokenizer), TaskContext.get().partitionId(), 0, 0, None
+        encode, part, n, docs, writer = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0, 0, None
         files, folder = pyarrow.fs.FileSystem.from_uri(path)
         name, unfinished = f"{folder}/part-{part:06d}.ids", f"{folder}/_{part:06d}-{uuid.uuid4().hex}"
         for batch in batches:
@@ -157,7 +157,7 @@ def write(df: DataFrame, path: str, tokenizer: str | None = None, end_id: int =
                     files.create_dir(folder, recursive=True)
                     sink = files.open_output_stream(unfinished)
                     writer = Writer(sink, planes)
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(values(some, "text", ""))):
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(values(some, "text", ""))):
                     writer.add(doc_id, ids + end)
                     n, docs = n + len(ids) // 4 + 1, docs + 1
         if writer:

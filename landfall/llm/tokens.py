@@ -8,6 +8,8 @@ the same ids wherever it stands. A task hands a unit to the library once and loo
 from __future__ import annotations
 
 import re
+from array import array
+from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -26,11 +28,14 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A word with end marks: both tokenizers cut it before the marks, and keep the marks together.
 _MARKED = re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?]*)")
 
-UNITS_KEPT = 400_000
+UNITS_KEPT = 250_000
+UNITS_AT_ONCE = 4096
 
 
-def tokenizer_path(name: str) -> str:
-    return public_tokenizers.path(name)
+def marked(unit: str) -> tuple[str, str, str] | None:
+    """A unit as line break, word and end marks, if that is all it is. It is cut so by both tokenizers."""
+    m = _MARKED.fullmatch(unit)
+    return m.groups() if m else None
 
 
 class UnitEncoder:
@@ -41,37 +46,38 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         spaced = self.tokenizer.encode(" a", add_special_tokens=False).ids
-        self.unit = WITH_SPACE if spaced != self.tokenizer.encode("a", add_special_tokens=False).ids else WITHOUT_SPACE
-        self.lower = self.unit is WITHOUT_SPACE
+        self.lower = spaced == self.tokenizer.encode("a", add_special_tokens=False).ids
+        self.unit = WITHOUT_SPACE if self.lower else WITH_SPACE
         self.kept: dict[str, bytes] = {}
 
     def _library(self, units: list[str]) -> None:
-        import numpy as np
-
-        for unit, found in zip(units, self.tokenizer.encode_batch_fast(units, add_special_tokens=False)):
-            self.kept[unit] = np.asarray(found.ids, "<u4").tobytes()
+        for at in range(0, len(units), UNITS_AT_ONCE):
+            some = units[at:at + UNITS_AT_ONCE]
+            for unit, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.kept[unit] = array("I", found.ids).tobytes()
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.kept) + len(units) > UNITS_KEPT:
-            self.kept = {}
         parts = {}
         for unit in units:
-            if (m := _MARKED.fullmatch(unit)) and (m[1] or m[3] or self.lower):
-                parts[unit] = tuple(x for x in (m[1], m[2].lower() if self.lower else m[2], m[3]) if x)
+            if (m := marked(unit)) and (m[0] or m[2] or self.lower):
+                parts[unit] = [x for x in (m[0], m[1].lower() if self.lower else m[1], m[2]) if x]
         wanted = {x for p in parts.values() for x in p} | (units - parts.keys())
-        self._library([x for x in wanted if x not in self.kept])
+        self._library(list(wanted.difference(self.kept)))
         for unit, p in parts.items():
             self.kept[unit] = b"".join([self.kept[x] for x in p])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.unit.findall(t) for t in texts]
-        self._learn(set().union(*cut).difference(self.kept) if self.kept else set().union(*cut))
-        # Learning may have emptied the memory of units of this batch that it held before.
-        missing = set().union(*cut).difference(self.kept)
-        if missing:
-            self._learn_all(missing)
+        every = set().union(*cut)
+        new = every.difference(self.kept)
+        if len(self.kept) + len(new) > UNITS_KEPT:
+            self.kept, new = {}, every
+        self._learn(new)
         get = self.kept.__getitem__
         return [b"".join(map(get, units)) for units in cut]
 
-    def _learn_all(self, units: set[str]) -> None:
-        self._library(list(units))
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> UnitEncoder:
+    """The encoder of this Python worker, which goes on to the worker's next task with what it has learned."""
+    return UnitEncoder(path)
