@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import annotate, slices, values
-from landfall.llm.tokens import BYTE_BPE, SPACES, WITH_SPACE, marked, tokenizer_path
+from landfall.llm.tokens import BYTE_BPE, SPACES, WITH_SPACE, byte_letters, marked, tokenizer_path
 from landfall.session import work_path
 
 LEXICON_WORDS = 131_072
-KEPT_UNITS = 250_000
+KEPT_UNITS = 400_000
 COUNTED_AT_ONCE = 300_000
 
 # How the byte-level tokenizer cuts a text into words before merging (a fixed format).
@@ -45,13 +45,6 @@ def cut(unit: str) -> list[str]:
     return [x for x in m if x] if (m := marked(unit)) else PRETOKEN.findall(unit)
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Bpe:
     """Vocabulary and merge ranks of a byte-level BPE file."""
 
@@ -268,9 +261,9 @@ class Encoder:
         every = set().union(*units_of)
         new = every.difference(self.units)
         if len(self.units) + len(new) > KEPT_UNITS:
-            self.units, new = {}, every
-        if len(self.words) > KEPT_UNITS:
-            self.words = {}
+            # What these texts share with earlier ones is what is common; the rest is given up.
+            self.units = {u: self.units[u] for u in every if u in self.units}
+            self.words = {w: self.words[w] for u in self.units for w in cut(u) if w in self.words}
         self._learn(new)
         get = self.units.__getitem__
         return [np.frombuffer(b"".join(map(get, units)), "<i4") for units in units_of]

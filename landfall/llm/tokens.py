@@ -7,6 +7,7 @@ the same ids wherever it stands. A task hands a unit to the library once and loo
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from functools import lru_cache
@@ -14,6 +15,9 @@ from functools import lru_cache
 import public_tokenizers
 from tokenizers import Tokenizer
 
+# Spark runs a task per core already.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 # Unicode's White_Space, as code points (fixed values).
 SPACES = "\t-\r \x85\xa0  -     　"
 
@@ -28,7 +32,7 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A word with end marks: both tokenizers cut it before the marks, and keep the marks together.
 _MARKED = re.compile(f"(\n?)( ?[{_LETTERS}]+)([.,;:!?]*)")
 
-UNITS_KEPT = 250_000
+UNITS_KEPT = 500_000
 UNITS_AT_ONCE = 4096
 
 
@@ -36,6 +40,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 def marked(unit: str) -> tuple[str, str, str] | None:
     """A unit as line break, word and end marks, if that is all it is. It is cut so by both tokenizers."""
     m = _MARKED.fullmatch(unit)
@@ -53,6 +64,13 @@ class UnitEncoder:
         self.lower = spaced == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.unit = WITHOUT_SPACE if self.lower else WITH_SPACE
         self.kept: dict[str, bytes] = {}
+        self.letters = {b: c for c, b in byte_letters().items()}
+
+    def _word(self, word: str) -> None:
+        """A word of letters, as the library's model merges it; nothing that comes before merging changes it."""
+        if word not in self.kept:
+            coded = word.encode().decode("latin-1").translate(self.letters)
+            self.kept[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(coded)]).tobytes()
 
     def _library(self, units: list[str]) -> None:
         for at in range(0, len(units), UNITS_AT_ONCE):
@@ -61,21 +79,22 @@ class UnitEncoder:
                 self.kept[unit] = array("I", found.ids).tobytes()
 
     def _learn(self, units: set[str]) -> None:
-        parts = {}
-        for unit in units:
-            if (m := marked(unit)) and (m[0] or m[2] or self.lower):
-                parts[unit] = [x for x in (m[0], m[1].lower() if self.lower else m[1], m[2]) if x]
-        wanted = {x for p in parts.values() for x in p} | (units - parts.keys())
-        self._library(list(wanted.difference(self.kept)))
-        for unit, p in parts.items():
-            self.kept[unit] = b"".join([self.kept[x] for x in p])
+        parts = {unit: m for unit in units if (m := marked(unit))}
+        rest = units.difference(parts).union(*{m[::2] for m in parts.values()}).difference(self.kept, ("",))
+        self._library(list(rest))
+        self.kept[""] = b""
+        for unit, (line, word, marks) in parts.items():
+            word = word.lower() if self.lower else word
+            self._word(word)
+            self.kept[unit] = self.kept[line] + self.kept[word] + self.kept[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.unit.findall(t) for t in texts]
         every = set().union(*cut)
         new = every.difference(self.kept)
         if len(self.kept) + len(new) > UNITS_KEPT:
-            self.kept, new = {}, every
+            # What these texts share with earlier ones is what is common; the rest is given up.
+            self.kept = {u: self.kept[u] for u in every if u in self.kept}
         self._learn(new)
         get = self.kept.__getitem__
         return [b"".join(map(get, units)) for units in cut]
