@@ -26,6 +26,8 @@ def in_period(facts: DataFrame, time: DataFrame, year: int, months: Sequence[int
     The month bounds are also stated on ``arrival_date`` itself. That adds nothing to the result, but it lets the
     scan skip the partitions of other days before the join.
     """
+    if not months:
+        raise ValueError("name at least one month")
     bounds = [(F.col("arrival_date") >= F.lit(_month_start(year, m)))
               & (F.col("arrival_date") < F.lit(_month_start(year, m + 1))) for m in months]
     inside: Column = bounds[0]

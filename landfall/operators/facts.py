@@ -43,7 +43,9 @@ def resolve(arrivals: DataFrame, lookups: Lookups, how: str = "inner", keep: tup
     """
     rows = lookups.rows
     country = (lookups.country.select(F.col("country_code").try_cast("int").alias("code"), "country_id")
-               .where(F.col("code").isNotNull()))
+               .where(F.col("code").isNotNull())
+               # Codes that differ as text can be one number (1 and 01): the member keyed first stands for it.
+               .groupBy("code").agg(F.min("country_id").alias("country_id")))
     country = small_side(country, rows.get("country"))
 
     def role(side: DataFrame, code: str, code_as: str, key: str, key_as: str) -> DataFrame:

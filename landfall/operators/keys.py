@@ -65,13 +65,24 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0
     return number(df, order_by, key, start)
 
 
+def one_per_key(df: DataFrame, natural_key: Sequence[str]) -> DataFrame:
+    """One row per natural key: of several the smallest by the other columns, so the choice is the same every time."""
+    others = [c for c in df.columns if c not in natural_key]
+    if not others:
+        return df.distinct()
+    row = F.min(F.struct(*others)).alias("row")
+    return df.groupBy(*natural_key).agg(row).select(*[c if c in natural_key else F.col(f"row.{c}") for c in df.columns])
+
+
 def merge_members(existing: DataFrame | None, incoming: DataFrame, natural_key: Sequence[str], key: str,
                   rows: int | None = None) -> DataFrame:
     """Dimension members after a load: known members keep their key, new ones are numbered after the largest.
 
     Known members take the incoming attributes; members that the input no longer lists stay, so that facts loaded
-    earlier still find them and no key is ever given out twice. Natural keys are compared null-safely.
+    earlier still find them and no key is ever given out twice. Natural keys are compared null-safely;
+    incoming rows that share one are one member, with the attributes that come first in order.
     """
+    incoming = one_per_key(incoming, natural_key)
     if existing is None:
         return assign_keys(incoming, natural_key, key, rows=rows)
     same = [F.col(f"k.{c}").eqNullSafe(F.col(f"i.{c}")) for c in natural_key]

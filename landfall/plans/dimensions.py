@@ -55,8 +55,8 @@ def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str)
     countries = stage(spark, files.countries, schemas.STAGED_COUNTRIES)
     states = stage(spark, files.states, schemas.STAGED_STATES)
     ports = staged_ports(stage(spark, files.ports, schemas.STAGED_PORTS))
-    airports = tag_rows(stage(spark, files.airports, schemas.STAGED_AIRPORTS))
-    demographics = tag_rows(stage(spark, files.demographics, schemas.STAGED_DEMOGRAPHICS, sep=";"))
+    airports = tag_rows(stage(spark, files.airports, schemas.STAGED_AIRPORTS, multiline=True))
+    demographics = tag_rows(stage(spark, files.demographics, schemas.STAGED_DEMOGRAPHICS, sep=";", multiline=True))
 
     tables = {}
     tables["dim_country"] = refresh("dim_country", dims.dim_country(countries, current("dim_country")))

@@ -13,11 +13,12 @@ from landfall.operators.quality import dimension_checks, enforce, evaluate, fact
 from landfall.plans.dimensions import read_table, table
 from landfall.schemas import FACT_ARRIVALS, TABLES
 from landfall.session import scratch
-from landfall.sinks import write_days, write_snapshot
+from landfall.sinks import folders, write_days, write_snapshot
 from landfall.sources import read_days, tag_rows
+from landfall.sources.arrivals import read_lake
 
 LOAD_DATE = "load_date"
-FACT_KEYS = ("arrival_date", LOAD_DATE)
+FACT_KEYS = (LOAD_DATE, "arrival_date")
 
 _STORED = StructType([*TABLES["fact_immigration"].fields, StructField(LOAD_DATE, DateType())])
 
@@ -47,17 +48,43 @@ def _days_report(loaded: DataFrame, first: datetime.date, last: datetime.date) -
         F.when(value == 0, F.concat(name, F.lit(" check failed. Expected > 0, actual 0"))).alias("message"))
 
 
+def _account(spark: SparkSession, name: str, count: int) -> DataFrame:
+    """A count as a line of the report that never fails."""
+    return spark.range(1).select(
+        F.lit(name).alias("check"), F.lit(count).cast("bigint").alias("value"), F.lit(">= 0").alias("condition"),
+        F.lit(True).alias("passed"), F.lit(None).cast("string").alias("message"))
+
+
+def _drop_stale(loaded: DataFrame, path: str, first: datetime.date, last: datetime.date) -> None:
+    """Remove the partitions of the load days ``first`` to ``last`` that this load has no row for."""
+    spark = loaded.sparkSession
+    # A pair per load day and arrival date: as many as the load has partitions.
+    fresh = {(str(r[LOAD_DATE]), str(r["arrival_date"])) for r in loaded.select(*FACT_KEYS).distinct().collect()}
+    for day in folders.children(spark, path):
+        date = day.removeprefix(f"{LOAD_DATE}=")
+        if date == day or not str(first) <= date <= str(last):
+            continue
+        for part in folders.children(spark, f"{path}/{day}"):
+            arrival = part.removeprefix("arrival_date=")
+            if arrival != part and (date, arrival) not in fresh:
+                folders.remove(spark, f"{path}/{day}/{part}")
+
+
 def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.date,
               last: datetime.date) -> DataFrame:
     """Load the lake's days ``first`` to ``last`` and return the check report after enforcing it.
 
     Dimensions are written before facts and a repeated load replaces what it wrote, so a failed run may simply be
-    run again. A fact lies below its arrival date and below the day whose load brought it; a load replaces only
-    its own files even if a record is filed under another day than its arrival date says.
+    run again. A fact lies below the day whose load brought it and below its arrival date; a load replaces all that
+    earlier loads of its days brought, also arrival dates that it no longer has, and nothing else. The report counts
+    what it leaves out: arrivals that a dimension does not know, and arrivals of the lake that no dated load reaches
+    because their year, month and day are no date.
     """
     filed = F.try_to_date(F.format_string("%04d-%02d-%02d", "year", "month", "arrival_day"), "yyyy-MM-dd")
     staged = tag_rows(read_days(spark, lake, first, last).withColumn(LOAD_DATE, filed)
                       .where(F.col(LOAD_DATE).isNotNull()))
+    # Both filters are on partition columns: the one scan counts the range, the other opens what has no date.
+    arrived, undated = staged.count(), read_lake(spark, lake).where(filed.isNull()).count()
 
     tables = {name: _required(spark, warehouse, name) for name in (
         "dim_country", "dim_states", "dim_ports", "dim_airporttypes", "dim_airports")}
@@ -72,10 +99,13 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
     with scratch(spark, "facts") as path:
         loaded = facts.key_facts_by_day(rows, LOAD_DATE, path)
         write_days(loaded, table(warehouse, "fact_immigration"), FACT_KEYS)
+        _drop_stale(loaded, table(warehouse, "fact_immigration"), first, last)
         # Rows of earlier loads were checked when they were loaded; these checks read the rows of this load only.
         tables["fact_immigration"] = loaded
         others = fact_checks(first)[1:]
-        report = _days_report(loaded, first, last).unionByName(evaluate(others, tables))
+        report = (_days_report(loaded, first, last).unionByName(evaluate(others, tables))
+                  .unionByName(_account(spark, "Arrivals rejected by a dimension", arrived - loaded.count()))
+                  .unionByName(_account(spark, "Arrivals filed under no date", undated)))
         # One line per day and per check: brought to the driver before the scratch table goes.
         report = spark.createDataFrame(report.collect(), report.schema)
     enforce(report)

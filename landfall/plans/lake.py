@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from landfall.operators.clean import clean_arrivals
 from landfall.operators.labels import extract_countries, extract_ports, extract_states
 from landfall.sinks import write_code_list, write_lake
 
 
+def one_per_code(entries: DataFrame, code: str) -> DataFrame:
+    """Of the entries of a code the first of the last dictionary by name: later editions are named later."""
+    others = [c for c in entries.columns if c not in ("source", "pos", code)]
+    content = F.struct(*others).alias("e")
+    latest = F.max_by(content, F.struct("source", -F.col("pos")))
+    return entries.groupBy(code).agg(latest.alias("e")).select(code, *[f"e.{c}" for c in others])
+
+
+def repeated_codes(entries: DataFrame, code: str) -> DataFrame:
+    """Codes with more than one entry, and how many of them :func:`one_per_code` leaves out."""
+    return entries.groupBy(code).agg((F.count(F.lit(1)) - 1).alias("left_out")).where("left_out > 0")
+
+
 def code_lists(dictionaries: DataFrame) -> dict[str, DataFrame]:
-    """The three staged code lists of a set of dictionaries."""
+    """The three staged code lists of a set of dictionaries, each code once."""
     return {
-        "countries": extract_countries(dictionaries).select("country_code", "country_name"),
-        "states": extract_states(dictionaries).select("state_code", "state_name"),
-        "ports": extract_ports(dictionaries).select("port_code", "port_name", "state_code"),
+        "countries": one_per_code(extract_countries(dictionaries), "country_code"),
+        "states": one_per_code(extract_states(dictionaries), "state_code"),
+        "ports": one_per_code(extract_ports(dictionaries), "port_code"),
     }
 
 
@@ -27,6 +41,6 @@ def extract_code_lists(dictionaries: DataFrame, folder: str) -> dict[str, str]:
     return paths
 
 
-def load_lake(raw: DataFrame, lake: str) -> None:
-    """Clean raw arrivals and replace the days they cover in the lake."""
-    write_lake(clean_arrivals(raw), lake)
+def load_lake(raw: DataFrame, lake: str, delivery: str) -> None:
+    """Clean raw arrivals and add them to the lake as ``delivery``, in place of what that delivery held before."""
+    write_lake(clean_arrivals(raw), lake, delivery)

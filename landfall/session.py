@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -32,14 +31,11 @@ def get_session(app: str = "landfall", master: str | None = None, **extra: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a private one in local tests."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or one below the warehouse, which is shared too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="landfall-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:

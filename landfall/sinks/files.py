@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -22,10 +23,14 @@ def write_days(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
-def write_lake(cleaned: DataFrame, path: str) -> None:
-    """Cleaned arrivals by year, month and day of arrival.
+def write_lake(cleaned: DataFrame, path: str, delivery: str) -> None:
+    """Cleaned arrivals of one delivery, by year, month and day of arrival.
 
-    The rebalance brings a day's rows together, so days get few files, while AQE splits a day (or a group of
-    equal rows) that outgrows the advisory partition size over several tasks.
+    A delivery lies in a folder of its own, so several that bring arrivals of one day add up, and one that is written
+    again replaces all that it brought before and nothing else. The rebalance brings a day's rows together, so days get
+    few files, while AQE splits a day (or a group of equal rows) that outgrows the advisory partition size.
     """
-    write_days(cleaned.hint("rebalance", *LAKE_KEYS), path, LAKE_KEYS)
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", delivery):
+        raise ValueError(f"a delivery's name is letters, digits, '_', '.' and '-': {delivery!r}")
+    (cleaned.hint("rebalance", *LAKE_KEYS).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*LAKE_KEYS).parquet(f"{path}/delivery={delivery}"))

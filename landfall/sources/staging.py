@@ -10,10 +10,11 @@ CORRUPT = "_corrupt_record"
 
 
 def stage(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv", sep: str = ",",
-          keep_corrupt: bool = False) -> DataFrame:
+          keep_corrupt: bool = False, multiline: bool = False) -> DataFrame:
     """Read ``path`` as ``schema``. CSV has a header line, lands by position and keeps malformed rows.
 
     Fields that do not parse become null; with ``keep_corrupt`` the original line of such a row is kept too.
+    With ``multiline`` a quoted field may hold line breaks; such a file is then read by one task.
     """
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
@@ -22,7 +23,7 @@ def stage(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
     wanted = StructType([*schema.fields, StructField(CORRUPT, StringType())]) if keep_corrupt else schema
     return (spark.read.schema(wanted)
             .option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .csv(path))
 
 

@@ -109,7 +109,7 @@ def _event_lake(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         path = work_path(spark, "lake")
-        lake.load_lake(Testbed(spark, sf_dir).event_arrivals(), path)
+        lake.load_lake(Testbed(spark, sf_dir).event_arrivals(), path, "events")
         _LAKES[key] = path
     return _LAKES[key]
 
@@ -134,7 +134,17 @@ def sink_partitioned(spark, sf_dir):
     """The lake written twice: the second write replaces the days of the first."""
     path, cleaned = work_path(spark, "lake"), clean_arrivals(Testbed(spark, sf_dir).event_arrivals())
     for _ in range(2):
-        write_lake(cleaned, path)
+        write_lake(cleaned, path, "events")
+    return read_lake(spark, path)
+
+
+@query
+def sink_two_deliveries(spark, sf_dir):
+    """Two deliveries that each bring half of every day's arrivals, the second one twice."""
+    path, cleaned = work_path(spark, "lake"), clean_arrivals(Testbed(spark, sf_dir).event_arrivals())
+    odd = F.col("cicid") % 2 == 1
+    for name, half in (("even", ~odd), ("odd", odd), ("odd", odd)):
+        write_lake(cleaned.where(half), path, name)
     return read_lake(spark, path)
 
 
@@ -525,6 +535,29 @@ def job_dimensions(spark, sf_dir):
     return dimensions.build_dimensions(spark, files, root)
 
 
+@query
+def load_corrected_day(spark, sf_dir):
+    """A day loaded with the next day's arrivals misfiled under it, corrected in the lake, and loaded again."""
+    path, root = work_path(spark, "lake"), _event_warehouse(spark, sf_dir)
+    events = clean_arrivals(Testbed(spark, sf_dir).event_arrivals()).where(
+        F.col("arrival_date").isin(FIRST_EVENT_DAY, SECOND_EVENT_DAY))
+    write_lake(events.withColumn("arrival_day", F.lit(FIRST_EVENT_DAY.day)), path, "events")
+    fact_plans.run_day(spark, path, root, FIRST_EVENT_DAY)
+    write_lake(events, path, "events")
+    fact_plans.run_day(spark, path, root, FIRST_EVENT_DAY)
+    return fact_plans.read_facts(spark, root).drop("immigration_id")
+
+
+@query
+def load_refresh_repeated(spark, sf_dir):
+    """A code list that names every code twice, refreshed three times: its members and their keys stay."""
+    path, ports = work_path(spark, "refresh"), Testbed(spark, sf_dir).countries()
+    twice = ports.unionByName(ports.withColumn("country_name", F.concat("country_name", F.lit("~"))))
+    for _ in range(3):
+        write_snapshot(dims.dim_country(twice, read_snapshot(spark, path, schemas.TABLES["dim_country"])), path)
+    return read_snapshot(spark, path, schemas.TABLES["dim_country"])
+
+
 @query
 def job_day(spark, sf_dir):
     """The daily job's own check report."""

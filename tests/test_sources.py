@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import datetime
+
+import pytest
 from decimal import Decimal
 
 from landfall.operators.clean import clean_arrivals
 from landfall.schemas import (LAKE_ARRIVALS, RAW_ARRIVALS, STAGED_AIRPORTS, STAGED_DEMOGRAPHICS, STAGED_PORTS,
                               STAGED_TEMPERATURES)
-from landfall.sinks import read_snapshot, write_code_list, write_lake, write_snapshot
+from landfall.operators.dims import dim_country
+from landfall.plans.lake import one_per_code, repeated_codes
+from landfall.sinks import read_snapshot, retire, write_code_list, write_lake, write_snapshot
 from landfall.sources import (CORRUPT, cast_losses, cast_staged, read_day, read_days, scan_arrivals, stage, tag_rows)
 from landfall.sources.arrivals import ROW_TAG, read_lake
 from landfall.sources.staging import text_schema
@@ -77,23 +81,27 @@ def test_cleaning_edge_rows(spark):
     assert third["arrival_date"] == datetime.date(1959, 12, 31) and third["departure_date"] is None
 
 
-def test_lake_days_are_replaced_and_pruned(spark, tmp_path):
+def test_lake_deliveries_add_up_and_days_are_pruned(spark, tmp_path):
     lake = str(tmp_path / "lake")
     days = [arrival(cicid=float(i), arrdate=20454.0 + i % 3) for i in range(30)]
-    write_lake(clean_arrivals(raw(spark, *days)), lake)
-    write_lake(clean_arrivals(raw(spark, *days)), lake)
+    write_lake(clean_arrivals(raw(spark, *days)), lake, "a")
+    write_lake(clean_arrivals(raw(spark, *days)), lake, "a")
     assert read_lake(spark, lake).count() == 30
-    write_lake(clean_arrivals(raw(spark, arrival(arrdate=20455.0))), lake)
-    assert read_lake(spark, lake).count() == 21
+    write_lake(clean_arrivals(raw(spark, arrival(arrdate=20455.0))), lake, "b")
+    assert read_lake(spark, lake).count() == 31  # a day's second delivery adds to the first
     second = read_day(spark, lake, datetime.date(2016, 1, 2))
-    assert second.count() == 1 and second.columns == LAKE_ARRIVALS.names
-    assert read_days(spark, lake, datetime.date(2016, 1, 2), datetime.date(2016, 2, 1)).count() == 11
+    assert second.count() == 11 and second.columns == LAKE_ARRIVALS.names
+    assert read_days(spark, lake, datetime.date(2016, 1, 2), datetime.date(2016, 2, 1)).count() == 21
+    write_lake(clean_arrivals(raw(spark, *days[::3])), lake, "a")
+    assert read_lake(spark, lake).count() == 11  # a delivery written again replaces all it brought
+    with pytest.raises(ValueError):
+        write_lake(clean_arrivals(raw(spark, *days)), lake, "a/b")
     plan = second._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull" in plan and "arrival_day" in plan.split("PartitionFilters")[1]
 
 
 def test_row_without_a_day_is_kept_apart(spark, tmp_path):
-    write_lake(clean_arrivals(raw(spark, arrival(arrdate=None), arrival())), str(tmp_path / "lake"))
+    write_lake(clean_arrivals(raw(spark, arrival(arrdate=None), arrival())), str(tmp_path / "lake"), "a")
     found = read_lake(spark, str(tmp_path / "lake"))
     assert found.count() == 2 and found.where("arrival_day IS NULL").count() == 1
 
@@ -114,3 +122,36 @@ def test_snapshots(spark, tmp_path):
 def test_row_tags_differ(spark, tmp_path):
     spark.range(1000).repartition(5).write.parquet(str(tmp_path / "t"))
     assert tag_rows(spark.read.parquet(str(tmp_path / "t"))).select(ROW_TAG).distinct().count() == 1000
+
+
+def test_unfinished_snapshot_does_not_count_and_old_ones_retire(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.createDataFrame([(1, "a")], "k bigint, v string")
+    for _ in range(4):
+        write_snapshot(df, path)
+    df.unionByName(df).write.parquet(f"{path}/snapshot=5")
+    (tmp_path / "t" / "snapshot=5" / "_SUCCESS").unlink()
+    assert read_snapshot(spark, path, df.schema).count() == 1
+    assert retire(spark, path, keep=2) == [2, 1]
+    write_snapshot(df.limit(0), path)
+    assert read_snapshot(spark, path, df.schema).count() == 0
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == [f"snapshot={n}" for n in (3, 4, 5, 6)]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([("A", "one\ntwo")], "code string, name string")
+    write_code_list(df, str(tmp_path / "c"))
+    assert [tuple(r) for r in stage(spark, str(tmp_path / "c"), df.schema, multiline=True).collect()] == [("A", "one\ntwo")]
+
+
+def test_one_entry_per_code_of_the_last_dictionary(spark):
+    rows = [("d1", 1, "A", "old"), ("d2", 1, "A", "new"), ("d2", 2, "A", "newer"), ("d1", 2, "B", "b")]
+    entries = spark.createDataFrame(rows, "source string, pos int, country_code string, country_name string")
+    assert sorted(map(tuple, one_per_code(entries, "country_code").collect())) == [("A", "new"), ("B", "b")]
+    assert [tuple(r) for r in repeated_codes(entries, "country_code").collect()] == [("A", 2)]
+
+
+def test_refresh_with_repeated_codes_keeps_members(spark, tmp_path):
+    staged = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "country_code string, country_name string")
+    first = dim_country(staged)
+    assert sorted(map(tuple, first.collect())) == [(1, "a", "x"), (2, "b", "z")]
+    assert sorted(map(tuple, dim_country(staged, dim_country(staged, first)).collect())) == [(1, "a", "x"), (2, "b", "z")]
