@@ -53,13 +53,15 @@ class SumIndex:
                 return x, total - x
         return None
 
-    def fill(self, gap: int, held: int) -> tuple[int, ...] | None:
-        """One, two or three available lengths that add up to ``gap`` beside a piece of length ``held``."""
+    def fill(self, gap: int, held: int, most: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths, ``most`` at most, that add up to ``gap`` beside one of ``held``."""
         own = Counter((held,))
-        if self.count[gap] > own[gap]:
+        if most and self.count[gap] > own[gap]:
             return (gap,)
-        if pair := self._pair(gap, own):
+        if most > 1 and (pair := self._pair(gap, own)):
             return pair
+        if most < 3:
+            return None
         first = np.flatnonzero(self.there[:gap])
         for x in first[self.pairs[gap - first] > 0][::-1]:
             x = int(x)
@@ -70,7 +72,16 @@ class SumIndex:
 
 
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Sequences as (lengths, copies) that use every piece once: exact fills first, then best-fit for the rest."""
+    """Sequences as (lengths, copies) that use every piece once: exact fills first, then best-fit for the rest.
+
+    Triples use up small pieces that sparse large ones may need, so plans are made with exact fills of up to three,
+    two, one and no pieces; the one with the fewest sequences is taken, of equal ones the first.
+    """
+    plans = [_plan(counts, capacity, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(copies for _, copies in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     count = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         count[length] = n
@@ -78,7 +89,7 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
     made, rest = [], []
     for length in range(capacity, 0, -1):
         while count[length]:
-            found = () if length == capacity else index.fill(capacity - length, length)
+            found = () if length == capacity else index.fill(capacity - length, length, most)
             if found is None:
                 rest.append((length, int(count[length])))
                 index.take(Counter((length,)), int(count[length]))

@@ -21,7 +21,7 @@ from landfall.llm.arrow import annotate, slices, values
 PASSAGE = 1024
 HIDDEN = 24
 ATTENTION = 12
-MOST_DOCUMENTS = 6_000
+MOST_DOCUMENTS = 3_000
 EPOCHS = 40
 BATCH = 64
 RATE = 0.004

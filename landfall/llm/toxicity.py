@@ -23,8 +23,8 @@ BEGINNINGS = (4, 5, 6, 7)  # letters: inflected words share what they begin with
 LEAST_DOCUMENTS = 6     # a feature counts if so many confirmed toxic documents have it
 MOST_FEATURES = 50_000  # the commonest of those
 LEAST_PURITY = 0.4      # estimated share of toxic texts among those that have a feature
-MOST_POSITIVE = 8_000   # documents to fit on
-MOST_UNLABELLED = 16_000
+MOST_POSITIVE = 3_000   # documents to fit on
+MOST_UNLABELLED = 8_000
 STEPS = 400
 RATE = 0.05
 DECAY = 1e-4
@@ -108,11 +108,11 @@ def present(df: DataFrame, number: dict[str, int]) -> list[np.ndarray]:
         known = Known(shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [sorted(known(t)) for t in values(part, "text", "")]
-                yield pa.RecordBatch.from_pydict({"ids": pa.array(found, pa.list_(pa.int32()))})
+                found = [np.array(sorted(known(t)), "<i4").tobytes() for t in values(part, "text", "")]
+                yield pa.RecordBatch.from_pydict({"ids": pa.array(found, pa.binary())})
 
-    rows = df.select("doc_id", "text").orderBy("doc_id").select("text").mapInArrow(run, "ids array<int>").collect()
-    return [np.array(r["ids"], np.int64) for r in rows]
+    rows = df.select("doc_id", "text").orderBy("doc_id").select("text").mapInArrow(run, "ids binary").collect()
+    return [np.frombuffer(r["ids"], "<i4") for r in rows]
 
 
 def fit_weights(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float, steps: int = STEPS,
