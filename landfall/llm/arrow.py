@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1024
 
 
 def fields(ddl: str) -> list[StructField]:
@@ -18,13 +19,15 @@ def fields(ddl: str) -> list[StructField]:
     return _parse_datatype_string(ddl).fields
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in consecutive slices whose ``column`` holds about ``limit`` bytes, one row at the least."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES,
+           rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive slices of at most ``rows`` rows whose ``column`` holds about ``limit`` bytes, one row at
+    the least. Work per slice may thus hold a table of rows by features also where texts are short."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     cut = np.cumsum(sizes, dtype=np.int64) // limit
-    starts = np.flatnonzero(np.diff(cut, prepend=-1))
+    starts = np.flatnonzero((np.diff(cut, prepend=-1) != 0) | (np.arange(batch.num_rows) % rows == 0))
     for start, end in zip(starts, [*starts[1:], batch.num_rows]):
         yield batch.slice(int(start), int(end - start))
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import annotate, slices, values
@@ -60,8 +60,8 @@ class Trigrams:
         return symbol[:-2] * SYMBOLS * SYMBOLS + symbol[1:-1] * SYMBOLS + symbol[2:]
 
     def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct trigrams of ``texts`` and the matrix of their counts, a row per text. Texts go in parts of
-        ``CHARS_AT_ONCE`` characters, each part beginning with the last two of the one before."""
+        """The distinct trigrams of ``texts`` and the matrix of their counts, a row per text. Long texts go in parts of
+        about ``CHARS_AT_ONCE`` characters, which are cut where a word ends."""
         codes, docs = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for i, text in enumerate(texts):
             own = self.codes(text) if len(text) <= CHARS_AT_ONCE else self._long(text)
@@ -111,10 +111,6 @@ class Prototypes:
     vectors: np.ndarray  # a unit vector per language
 
 
-def in_training(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
-
-
 def learn(df: DataFrame, dimensions: int = DIMENSIONS) -> Prototypes:
     """Prototypes of the languages of ``df`` (text, lang), from all its rows where both are given.
 
