@@ -21,8 +21,8 @@ def fields(ddl: str) -> list[StructField]:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES,
            rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """``batch`` in consecutive slices of at most ``rows`` rows whose ``column`` holds about ``limit`` bytes, one row at
-    the least. Work per slice may thus hold a table of rows by features also where texts are short."""
+    """``batch`` in consecutive slices of one to ``rows`` rows whose ``column`` holds, beside the first row's, less than
+    ``limit`` bytes. Work per slice may thus hold a table of rows by features also where texts are short."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

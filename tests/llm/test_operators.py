@@ -9,13 +9,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from landfall.llm import (language, lexicon, licences, packing, quality, queries, repetition, search, simhash, tokenfile,
-                          tokens, toxicity)
+from landfall.llm import (arrow, language, lexicon, licences, packing, quality, queries, repetition, search, simhash,
+                          tokenfile, tokens, toxicity)
 from landfall.session import work_path
 from tests.compare import connect, difference
 
@@ -180,6 +181,23 @@ def test_repetition_figures(spark, odd):
     assert kept.columns == odd.columns and kept.count() == 0
 
 
+def test_slices_are_bounded_by_rows_and_bytes():
+    texts = ["x" * 10, None, ""] * 40 + ["y" * 500] + ["z"] * 30
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    parts = [arrow.values(part, "text", None) for part in arrow.slices(batch, "text", limit=100, rows=16)]
+    assert sum(parts, []) == texts
+    assert all(0 < len(p) <= 16 and sum(len(t or "") for t in p[1:]) < 100 for p in parts)
+    assert list(arrow.slices(batch.slice(0, 0), "text")) == []
+
+
+def test_many_short_texts_are_judged_as_one_by_one(spark):
+    texts = [f"le chat {i}" if i % 2 else f"the cat {i}" for i in range(2500)]
+    df = spark.createDataFrame([(i, t, "fr" if i % 2 else "en") for i, t in enumerate(texts)],
+                               "doc_id bigint, text string, lang string").coalesce(1)
+    rows = language.identify(df, language.learn(df)).collect()
+    assert len(rows) == 2500 and all(r["lang_pred"] == r["lang"] for r in rows)
+
+
 def test_language_on_held_out_texts(spark, odd):
     found = queries.op2_language(spark, SF).where("held_out").join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
