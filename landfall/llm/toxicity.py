@@ -25,6 +25,7 @@ MOST_FEATURES = 50_000  # the commonest of those
 LEAST_PURITY = 0.4      # estimated share of toxic texts among those that have a feature
 MOST_POSITIVE = 3_000   # documents to fit on
 MOST_UNLABELLED = 8_000
+MOST_BROADCAST = 2_000_000  # ids of confirmed documents, 8 bytes each; more are joined by a shuffle
 STEPS = 400
 RATE = 0.05
 DECAY = 1e-4
@@ -138,16 +139,21 @@ def fit_weights(positive: list[np.ndarray], unlabelled: list[np.ndarray], size:
 
 
 def learn(df: DataFrame, toxic: DataFrame, prior: float, least: int = LEAST_DOCUMENTS,
-          most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Classifier:
+          most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED,
+          most_broadcast: int = MOST_BROADCAST) -> Classifier:
     """A classifier from the texts of ``df`` (doc_id, text), of which those whose doc_id is in ``toxic`` are confirmed.
 
     Features are counted over all confirmed texts. Weights are fitted on at most ``most_positive`` confirmed texts and
     ``most_unlabelled`` texts of any kind, those first in the order of their ids' hashes; that is the only sample. Features that
     the sample shows to be no sign of toxic text are left out before.
     Without a confirmed text every score is ``prior``.
+
+    The confirmed ids are counted and broadcast up to ``most_broadcast``, which spares a shuffle of all texts; more are
+    joined by one, with the same result.
     """
     ids = toxic.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    positive = df.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    small = F.broadcast(ids) if ids.count() <= most_broadcast else ids
+    positive = df.select("doc_id", "text").join(small, "doc_id", "left_semi")
     number = {f: i for i, f in enumerate(common_features(positive, least))}
 
     def first(rows: DataFrame, n: int) -> DataFrame:

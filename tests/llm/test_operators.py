@@ -233,6 +233,14 @@ def test_quality_and_toxicity_on_held_out_labels(spark, odd):
     assert all(abs(r["score"] - 0.2) < 1e-9 for r in toxicity.score(odd, model).collect())
 
 
+def test_confirmed_ids_joined_either_way_give_one_model(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1")
+    one, other = (toxicity.learn(docs, toxic, 0.2, least=2, most_broadcast=n) for n in (0, 1000))
+    assert one.number and one.number == other.number and one.bias == other.bias
+    assert (one.weights == other.weights).all()
+
+
 def test_search_and_licences_match_sql(spark):
     con, sql = connect(SF), queries.oracle_sql()
     for name in sql:
