@@ -97,24 +97,33 @@ def digest(canonical_text: Column) -> Column:
     return F.sha2(canonical_text, 256)
 
 
+MOST_KNOWN = 10_000  # digests that are looked up in a map in each task, a megabyte; more are joined by a shuffle
+
+
 def known_digests(spark: SparkSession) -> DataFrame:
     """name and digest of the known texts: a constant table of a dozen rows."""
     known = spark.createDataFrame(list(KNOWN), "licence string, text string")
     return known.select("licence", digest(canonical(canonical_lines(F.col("text")))).alias("digest")).distinct()
 
 
-def scan(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def scan(df: DataFrame, known: DataFrame | None = None, most_known: int = MOST_KNOWN) -> DataFrame:
     """``df`` (doc_id, text) with digest, licence and notices, a row per row of ``df``.
 
     ``digest`` is that of the whole canonical text; ``licence`` the known licence with that digest, or null;
     ``notices`` the names, in order and joined by commas, of known texts that are a line of the text by themselves
-    (empty if none). A null text counts as empty; a text with no letter or digit is no licence. ``known`` (licence,
-    digest) is small by its nature; it is collected once. Should a digest have two names, the first in order counts.
-    Rows are scanned one by one: repeated rows stay, an empty table gives no rows, other columns are dropped.
+    (empty if none). A null text counts as empty; a text with no letter or digit is no licence. Should a digest of
+    ``known`` (licence, digest) have two names, the first in order counts; null ones do not. Rows are scanned one by
+    one: repeated rows stay, an empty table gives no rows, other columns are dropped.
+
+    At most ``most_known`` digests are collected once and looked up where the text is; of more, whole texts and lines
+    are joined to the table by digest, with the same result.
     """
     spark = df.sparkSession
-    known = (known if known is not None else known_digests(spark)).groupBy("digest").agg(F.min("licence").alias("licence"))
-    table = [(r["digest"], r["licence"]) for r in known.collect()]
+    known = ((known if known is not None else known_digests(spark)).where("digest IS NOT NULL AND licence IS NOT NULL")
+             .groupBy("digest").agg(F.min("licence").alias("licence")))
+    table = [(r["digest"], r["licence"]) for r in known.limit(most_known + 1).collect()]
+    if len(table) > most_known:
+        return _scan_by_joins(df, known)
     names = F.create_map(*[F.lit(x) for row in table for x in row]) if table else F.map_from_arrays(
         F.array().cast("array<string>"), F.array().cast("array<string>"))
     lines = df.select("doc_id", canonical_lines(F.coalesce("text", F.lit(""))).alias("lines"))
@@ -127,6 +136,18 @@ def scan(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return hashed.join(F.broadcast(lookup), "digest", "left").select("doc_id", "digest", "licence", "notices")
 
 
+def _scan_by_joins(df: DataFrame, known: DataFrame) -> DataFrame:
+    """:func:`scan` with a ``known`` of any size. Equal texts have equal notices, so these are found once per text."""
+    lines = df.select("doc_id", canonical_lines(F.coalesce("text", F.lit(""))).alias("lines"))
+    hashed = lines.select("doc_id", digest(canonical(F.col("lines"))).alias("digest"), digest(F.col("lines")).alias("body"),
+                          F.array_distinct(F.transform(F.split("lines", "\n"), lambda x: digest(F.trim(x)))).alias("parts"))
+    parts = hashed.select("body", F.explode("parts").alias("digest")).distinct()
+    notices = (parts.join(known, "digest").groupBy("body")
+               .agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices")))
+    return (hashed.join(known, "digest", "left").join(notices, "body", "left")
+            .select("doc_id", "digest", "licence", F.coalesce("notices", F.lit("")).alias("notices")))
+
+
 def oracle() -> str:
     """The same over ``documents`` in DuckDB."""
     def quoted(text: str) -> str:

@@ -267,6 +267,17 @@ def test_licences(spark, odd):
     assert licences.scan(odd).count() == len(ODD) + 1
 
 
+def test_licences_are_the_same_beyond_the_map(spark, odd):
+    texts = [(1, licences.KNOWN[0][1]), (2, "a\nReleased under the MIT LICENCE!\nLicensed under CC BY-NC 4.0."), (2, None),
+             (None, "Released under the MIT License."), (None, "Released under the MIT License.")]
+    for df in (spark.createDataFrame(texts, "doc_id bigint, text string"), odd, odd.limit(0)):
+        near, far = licences.scan(df), licences.scan(df, most_known=3)
+        assert near.schema.names == far.schema.names
+        assert sorted(map(str, near.collect())) == sorted(map(str, far.collect()))
+    none = licences.known_digests(spark).limit(0)
+    assert {r["notices"] for r in licences.scan(odd, none).collect()} == {""}
+
+
 def test_pipeline_against_plain_python(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     packed = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()}
