@@ -35,8 +35,7 @@ def in_period(facts: DataFrame, time: DataFrame, year: int, months: Sequence[int
         inside = inside | bound
     days = (time.where((F.col("year") == year) & F.col("month").isin(*months))
             .select(sas_date(F.col("ts")).alias("arrival_date")))
-    # At most 31 days per requested month, as dim_time lists a day once.
-    return facts.where(inside).join(small_side(days, 31 * len(months)), "arrival_date")
+    return facts.where(inside).join(small_side(days), "arrival_date")
 
 
 def _ranked(counted: DataFrame, measure: str, ties: Sequence[str], limit: int | None) -> DataFrame:
@@ -70,7 +69,7 @@ def by_purpose(facts: DataFrame, time: DataFrame, visas: DataFrame, year: int, m
     """Arrivals per visa category."""
     counted = (in_period(facts, time, year, months).groupBy("visa_category_id")
                .agg(F.count(F.lit(1)).alias("count")))
-    named = counted.join(small_side(visas, 4), "visa_category_id")
+    named = counted.join(small_side(visas), "visa_category_id")
     return _ranked(named.select("name", "count"), "count", ["name"], limit)
 
 
@@ -119,9 +118,9 @@ def count_by(facts: DataFrame, by: Sequence[str], *, country: DataFrame | None =
             out = out.join(need(country, b).select(F.col("country_id").alias(keys[b]), F.col("country_name").alias(b)),
                            keys[b])
         elif b == "mode":
-            out = out.join(small_side(need(modes, b).select("travel_mode_id", "mode"), 4), "travel_mode_id")
+            out = out.join(small_side(need(modes, b).select("travel_mode_id", "mode")), "travel_mode_id")
         elif b == "visa":
-            out = out.join(small_side(need(visas, b).select("visa_category_id", F.col("name").alias("visa")), 4),
+            out = out.join(small_side(need(visas, b).select("visa_category_id", F.col("name").alias("visa"))),
                            "visa_category_id")
     if "port" in by or "state" in by:
         out = out.join(need(ports, "port").select("port_id", "state_id", F.col("port_name").alias("port")), "port_id")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import day_number
-from landfall.operators.dims import LABELS
 from landfall.operators.keys import number_large, tag_of
 from landfall.schemas import FACT_ARRIVALS, FACT_DEMOGRAPHICS
 from landfall.sizing import small_side
@@ -22,7 +21,7 @@ DAY_KEYS = 10 ** 12
 class Lookups:
     """The dimensions an arrival is resolved against (countries in two roles).
 
-    ``rows`` holds the sizes of ``country`` and ``ports`` where they have been counted already.
+    ``rows`` holds the sizes of the dimensions, by field name, where they have been counted already.
     """
 
     country: DataFrame
@@ -51,8 +50,9 @@ def resolve(arrivals: DataFrame, lookups: Lookups, how: str = "inner", keep: tup
     def role(side: DataFrame, code: str, code_as: str, key: str, key_as: str) -> DataFrame:
         return side.select(F.col(code).alias(code_as), F.col(key).alias(key_as))
 
-    modes = small_side(role(lookups.modes, "mode", "travel_mode", "travel_mode_id", "travel_mode_id"), LABELS)
-    visas = small_side(role(lookups.visas, "name", "visa_category", "visa_category_id", "visa_category_id"), LABELS)
+    modes = small_side(role(lookups.modes, "mode", "travel_mode", "travel_mode_id", "travel_mode_id"), rows.get("modes"))
+    visas = small_side(role(lookups.visas, "name", "visa_category", "visa_category_id", "visa_category_id"),
+                       rows.get("visas"))
     ports = small_side(role(lookups.ports, "port_code", "i94port", "port_id", "port_id"), rows.get("ports"))
     resolved = (arrivals
                 .join(modes, "travel_mode", how)

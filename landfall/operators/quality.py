@@ -16,7 +16,7 @@ from landfall.sizing import is_small, row_counts
 
 @dataclass(frozen=True)
 class Check:
-    """An aggregate over one table and the condition its value must meet: ``> 0`` or ``== 0``."""
+    """An aggregate over one table and the condition its value must meet: ``> 0``, ``== 0`` or, for a count to look at, ``>= 0``."""
 
     name: str
     table: str
@@ -28,6 +28,8 @@ class Check:
             return value > 0
         if self.condition == "== 0":
             return value == 0
+        if self.condition == ">= 0":
+            return value >= 0
         raise ValueError(f"unknown condition: {self.condition}")
 
 

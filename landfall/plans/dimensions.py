@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from landfall import schemas
 from landfall.operators import dims, facts
-from landfall.operators.quality import dimension_checks, enforce, evaluate
+from landfall.operators.quality import Check, dimension_checks, enforce, evaluate
 from landfall.session import scratch
 from landfall.sinks import read_snapshot, write_snapshot
 from landfall.sources import stage, tag_rows
+from landfall.sources.staging import CORRUPT
 
 
 @dataclass(frozen=True)
@@ -40,11 +41,28 @@ def staged_ports(ports: DataFrame) -> DataFrame:
     return ports.withColumn("state_code", F.coalesce("state_code", F.lit("")))
 
 
+# Name, CSV separator and schema of the two files that come from elsewhere.
+DELIVERED = (("airports", ",", schemas.STAGED_AIRPORTS), ("demographics", ";", schemas.STAGED_DEMOGRAPHICS))
+
+
+def staging_report(spark: SparkSession, files: DimensionFiles) -> DataFrame:
+    """Per delivered file, how many records have a field that does not parse, or too few or many fields."""
+    checks, staged = [], {}
+    for name, sep, schema in DELIVERED:
+        # The parser only looks at columns that are asked for, so the condition names them all.
+        whole = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.names])) >= 0
+        checks.append(Check(f"Records of {name} that do not parse", name,
+                            F.count_if(F.col(CORRUPT).isNotNull() & whole), ">= 0"))
+        staged[name] = stage(spark, getattr(files, name), schema, sep=sep, keep_corrupt=True, multiline=True)
+    return evaluate(checks, staged)
+
+
 def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str) -> DataFrame:
     """Refresh the static dimensions and the demographics; return the check report after enforcing it.
 
     States load before ports and ports before demographics, which read them. Every table is written and read back
-    before the next one uses it, so later joins see its real size. Members keep their keys.
+    before the next one uses it, so later joins see its real size. Members keep their keys. The report also counts the
+    records of the delivered files that do not parse; what does not is loaded as null.
     """
     def refresh(name: str, content: DataFrame) -> DataFrame:
         return write_snapshot(content, table(warehouse, name))
@@ -70,6 +88,6 @@ def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str)
     with scratch(spark, "demographics") as path:
         tables["fact_demographics"] = refresh(
             "fact_demographics", facts.fact_demographics(demographics, tables["dim_ports"], path=path))
-    report = evaluate(dimension_checks(), tables)
+    report = evaluate(dimension_checks(), tables).unionByName(staging_report(spark, files))
     enforce(report)
     return report

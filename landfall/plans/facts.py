@@ -14,6 +14,7 @@ from landfall.plans.dimensions import read_table, table
 from landfall.schemas import FACT_ARRIVALS, TABLES
 from landfall.session import scratch
 from landfall.sinks import folders, write_days, write_snapshot
+from landfall.sizing import row_counts
 from landfall.sources import read_days, tag_rows
 from landfall.sources.arrivals import read_lake
 
@@ -93,8 +94,9 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
         tables[name] = write_snapshot(load(staged, read_table(spark, warehouse, name)), table(warehouse, name))
     enforce(evaluate(dimension_checks(), tables))
 
-    lookups = facts.Lookups(tables["dim_country"], tables["dim_ports"], tables["dim_travelmodes"],
-                            tables["dim_visacategories"])
+    sides = {"country": tables["dim_country"], "ports": tables["dim_ports"], "modes": tables["dim_travelmodes"],
+             "visas": tables["dim_visacategories"]}
+    lookups = facts.Lookups(**sides, rows=row_counts(sides))
     rows = facts.fact_rows(staged, lookups, keep=(LOAD_DATE,))
     with scratch(spark, "facts") as path:
         loaded = facts.key_facts_by_day(rows, LOAD_DATE, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import pathlib
 import shutil
@@ -11,9 +12,9 @@ import pytest
 from landfall.operators import counts, quality
 from landfall.plans import facts as fact_plans
 from landfall.plans import views
-from landfall.plans.dimensions import DimensionFiles, build_dimensions, read_table
+from landfall.plans.dimensions import DimensionFiles, build_dimensions, read_table, staging_report
 from landfall.plans.lake import load_lake
-from landfall.schemas import TABLES
+from landfall.schemas import STAGED_DEMOGRAPHICS, TABLES
 from landfall.session import shared_dir
 from landfall.sinks import write_code_list
 from tests import samples
@@ -51,7 +52,7 @@ def built(spark, tmp_path_factory):
     write_code_list(airports(spark), files.airports)
     write_code_list(samples.demographics(spark), files.demographics, sep=";")
     report = build_dimensions(spark, files, str(folder / "warehouse"))
-    assert report.count() == 7
+    assert report.count() == 9
     return folder
 
 
@@ -126,6 +127,17 @@ def test_facts_need_their_dimensions(spark, lake, tmp_path):
         fact_plans.run_day(spark, lake, str(tmp_path / "nothing"), FIRST)
 
 
+def test_records_that_do_not_parse_are_counted(spark, warehouse):
+    root, files = warehouse
+    with open(files.demographics + ".csv", "w") as f:
+        f.write(";".join(STAGED_DEMOGRAPHICS.names) + "\n" + "A;B;33.1;n/a;2;3;4;5;2.5;OR;White;7\nA;B;33.1;1;2\n")
+        f.write("A;B;33.1;1;2;3;4;5;2.5;OR;White;7\n")
+    changed = dataclasses.replace(files, demographics=files.demographics + ".csv")
+    found = {r["check"]: (r["value"], r["passed"]) for r in staging_report(spark, changed).collect()}
+    assert found == {"Records of airports that do not parse": (0, True),
+                     "Records of demographics that do not parse": (2, True)}
+
+
 def test_refreshing_dimensions_keeps_the_keys_facts_use(spark, lake, warehouse):
     root, files = warehouse
     fact_plans.run_day(spark, lake, root, FIRST)
