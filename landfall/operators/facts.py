@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landfall.functions import day_number
 from landfall.operators.keys import number_large, tag_of
 from landfall.schemas import FACT_ARRIVALS, FACT_DEMOGRAPHICS
-from landfall.sizing import small_side
+from landfall.sizing import row_counts, small_side
 
 # Keys of a dated load are the load day's number times this, plus a position in the day. A load can then be
 # repeated, or days be loaded in any order, without reading or moving the keys of other days.
@@ -41,6 +41,8 @@ def resolve(arrivals: DataFrame, lookups: Lookups, how: str = "inner", keep: tup
     Each dimension is broadcast if small. A larger one joins by sort-merge, where AQE splits a popular port.
     """
     rows = lookups.rows
+    if uncounted := {name: getattr(lookups, name) for name in ("modes", "visas") if name not in rows}:
+        rows = rows | row_counts(uncounted)
     country = (lookups.country.select(F.col("country_code").try_cast("int").alias("code"), "country_id")
                .where(F.col("code").isNotNull())
                # Codes that differ as text can be one number (1 and 01): the member keyed first stands for it.
@@ -50,9 +52,9 @@ def resolve(arrivals: DataFrame, lookups: Lookups, how: str = "inner", keep: tup
     def role(side: DataFrame, code: str, code_as: str, key: str, key_as: str) -> DataFrame:
         return side.select(F.col(code).alias(code_as), F.col(key).alias(key_as))
 
-    modes = small_side(role(lookups.modes, "mode", "travel_mode", "travel_mode_id", "travel_mode_id"), rows.get("modes"))
+    modes = small_side(role(lookups.modes, "mode", "travel_mode", "travel_mode_id", "travel_mode_id"), rows["modes"])
     visas = small_side(role(lookups.visas, "name", "visa_category", "visa_category_id", "visa_category_id"),
-                       rows.get("visas"))
+                       rows["visas"])
     ports = small_side(role(lookups.ports, "port_code", "i94port", "port_id", "port_id"), rows.get("ports"))
     resolved = (arrivals
                 .join(modes, "travel_mode", how)
