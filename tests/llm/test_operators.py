@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from landfall.llm import (arrow, language, lexicon, licences, packing, quality, queries, repetition, search, simhash,
+from landfall.llm import (arrow, language, lexicon, licences, packing, quality, queries, repetition, search, shingles, simhash,
                           tokenfile, tokens, toxicity)
 from landfall.session import work_path
 from tests.compare import connect, difference
@@ -300,3 +300,45 @@ def test_pipeline_stages_take_odd_rows(spark, odd):
         assert stage(spark, docs.limit(0), SF).count() == 0
         out.count()
     assert corpus_pipeline.packed(spark, docs, SF).count() >= len(ODD) + 1
+
+
+def jaccard_groups(texts: dict, words: int, similarity: float) -> dict:
+    """Smallest id of each text's group, every pair compared."""
+    sets = {}
+    for i, text in texts.items():
+        w = text.lower().split()
+        sets[i] = {tuple(w[k:k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    label = {i: i for i in texts}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    ids = sorted(texts)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1:]:
+            both = len(sets[a] & sets[b])
+            if sets[a] == sets[b] or both >= similarity * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    return {i: root(i) for i in ids}
+
+
+@pytest.mark.parametrize("tile_shingles, most_broadcast", [(shingles.TILE_SHINGLES, 1000), (300, 0)])
+def test_near_duplicate_stage_against_brute_force_jaccard(spark, tile_shingles, most_broadcast):
+    rng = random.Random(8)
+    texts: dict = {}
+    for _ in range(30):  # originals with copies on both sides of 0.8
+        words = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(60, 200))]
+        texts[len(texts)] = " ".join(words)
+        for changes in (1, 2, 3, 4, 5):
+            copy = list(words)
+            for k in rng.sample(range(len(words)), changes):
+                copy[k] = "changed"
+            texts[len(texts)] = " ".join(copy)
+    texts |= {len(texts) + k: t for k, t in enumerate(["", " ", "a b", "A  b", "b a"])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    wanted = set(jaccard_groups(texts, 5, 0.8).values())
+    found = shingles.keep_one_of_each(docs, 5, 0.8, tile_shingles, most_broadcast)
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted(wanted)
+    assert 40 < len(wanted) < 150
