@@ -22,7 +22,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6, 7)  # letters: inflected words share what they begin with
 LEAST_DOCUMENTS = 6     # a feature counts if so many confirmed toxic documents have it
 MOST_FEATURES = 50_000  # the commonest of those
-LEAST_PURITY = 0.4      # estimated share of toxic texts among those that have a feature
+LEAST_PURITY = 0.4      # estimated share of toxic texts among those that have a feature, over all texts
 MOST_POSITIVE = 3_000   # documents to fit on
 MOST_UNLABELLED = 8_000
 MOST_BROADCAST = 2_000_000  # ids of confirmed documents, 8 bytes each; more are joined by a shuffle
@@ -71,30 +71,58 @@ class Classifier:
         return score
 
 
-def common_features(df: DataFrame, least: int = LEAST_DOCUMENTS, most: int = MOST_FEATURES) -> list[str]:
-    """Features that at least ``least`` texts of ``df`` have, the ``most`` commonest, ties in alphabetical order.
+def counted(df: DataFrame) -> DataFrame:
+    """``feature``, ``p`` and ``u``: of the texts of ``df`` (text, confirmed) how many confirmed and how many in all have it.
 
     Counted over all texts: each task adds its texts up before the shuffle.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, int] = {}
+        words: dict[str, list[int]] = {}
+        held: dict[str, list[int]] = {}
+        of_word: dict[str, tuple[str, ...]] = {}
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"feature": pa.array(list(counts), pa.string()),
-                                               "n": pa.array(list(counts.values()), pa.int64())})
+            both = [held, words]
+            return pa.RecordBatch.from_pydict({
+                "feature": pa.array([f for x in both for f in x], pa.string()),
+                "p": pa.array([n[0] for x in both for n in x.values()], pa.int64()),
+                "u": pa.array([n[1] for x in both for n in x.values()], pa.int64())})
         for batch in batches:
             for part in slices(batch, "text"):
-                for text in values(part, "text", ""):
-                    for w in features(set(WORD.findall(text.lower()))):
-                        counts[w] = counts.get(w, 0) + 1
-                if len(counts) > 500_000:
+                for text, toxic in zip(values(part, "text", ""), part.column("confirmed").to_pylist()):
+                    own = set(WORD.findall(text.lower()))
+                    begun: set[str] = set()
+                    for w in own:
+                        if w not in of_word:
+                            if len(of_word) > Known.KEPT:
+                                of_word = {}
+                            of_word[w] = tuple(features({w}) - {w})
+                        begun.update(of_word[w])
+                    for counts, found in ((words, own), (held, begun)):
+                        for f in found:
+                            if (n := counts.get(f)) is None:
+                                n = counts[f] = [0, 0]
+                            n[0] += toxic
+                            n[1] += 1
+                if len(words) + len(held) > 300_000:
                     yield out()
-                    counts = {}
+                    words, held = {}, {}
         yield out()
 
-    found = (df.select("text").mapInArrow(run, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(most))
-    return [r["feature"] for r in found.collect()]
+    return (df.select("text", "confirmed").mapInArrow(run, "feature string, p bigint, u bigint").groupBy("feature")
+            .agg(F.sum("p").alias("p"), F.sum("u").alias("u")))
+
+
+def telling_features(df: DataFrame, prior: float, least: int = LEAST_DOCUMENTS, most: int = MOST_FEATURES) -> list[str]:
+    """Features of the texts of ``df`` (text, confirmed) that at least ``least`` confirmed ones have and that are a sign of
+    toxic text by the counts of all texts. No more than ``most``, the commonest, ties in alphabetical order.
+
+    By Bayes, of the texts with a feature prior * P(feature | confirmed) / P(feature | all) are toxic.
+    """
+    all_p, all_u = df.agg(F.count(F.when(F.col("confirmed"), 1)), F.count(F.lit(1))).first()
+    purity = prior * (F.col("p") / max(1, all_p)) / ((F.col("u") + 1) / max(1, all_u))
+    found = counted(df).where(F.col("p") >= least).where(purity >= LEAST_PURITY)
+    return [r["feature"] for r in found.orderBy(F.desc("p"), "feature").limit(most).select("feature").collect()]
 
 
 def present(df: DataFrame, number: dict[str, int]) -> list[np.ndarray]:
@@ -143,9 +171,9 @@ def learn(df: DataFrame, toxic: DataFrame, prior: float, least: int = LEAST_DOCU
           most_broadcast: int = MOST_BROADCAST) -> Classifier:
     """A classifier from the texts of ``df`` (doc_id, text), of which those whose doc_id is in ``toxic`` are confirmed.
 
-    Features are counted over all confirmed texts. Weights are fitted on at most ``most_positive`` confirmed texts and
-    ``most_unlabelled`` texts of any kind, those first in the order of their ids' hashes; that is the only sample. Features that
-    the sample shows to be no sign of toxic text are left out before.
+    Features are counted over all confirmed texts and all texts, and those that are no sign of toxic text left out. Weights
+    are fitted on at most ``most_positive`` confirmed texts and ``most_unlabelled`` texts of any kind, those first in the
+    order of their ids' hashes; that is the only sample.
     Without a confirmed text every score is ``prior``.
 
     The confirmed ids are counted and broadcast up to ``most_broadcast``, which spares a shuffle of all texts; more are
@@ -153,8 +181,10 @@ def learn(df: DataFrame, toxic: DataFrame, prior: float, least: int = LEAST_DOCU
     """
     ids = toxic.select("doc_id").where("doc_id IS NOT NULL").distinct()
     small = F.broadcast(ids) if ids.count() <= most_broadcast else ids
-    positive = df.select("doc_id", "text").join(small, "doc_id", "left_semi")
-    number = {f: i for i, f in enumerate(common_features(positive, least))}
+    prior = min(max(prior, 1e-3), 0.999)
+    marked = df.select("doc_id", "text").join(small.withColumn("confirmed", F.lit(True)), "doc_id", "left")
+    marked = marked.select("text", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))
+    number = {f: i for i, f in enumerate(telling_features(marked, prior, least))}
 
     def first(rows: DataFrame, n: int) -> DataFrame:
         # At most n ids, a table of known size.
@@ -162,22 +192,10 @@ def learn(df: DataFrame, toxic: DataFrame, prior: float, least: int = LEAST_DOCU
         return df.select("doc_id", "text").join(F.broadcast(some.distinct()), "doc_id", "left_semi")
 
     found = present(first(ids, most_positive), number)
-    prior = min(max(prior, 1e-3), 0.999)
     if not found:
         return Classifier({}, np.zeros(0), float(np.log(prior / (1 - prior))))
     rest = present(first(df, most_unlabelled), number)
-    size = len(number)
-    here, there = (np.bincount(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), minlength=size)
-                   for x in (found, rest))
-    # By Bayes, of the texts with a feature prior * P(feature | P) / P(feature | U) are toxic.
-    purity = prior * (here / len(found)) / ((there + 1) / max(1, len(rest)))
-    place = np.cumsum(purity >= LEAST_PURITY) - 1
-
-    def chosen(docs: list[np.ndarray]) -> list[np.ndarray]:
-        return [place[d[purity[d] >= LEAST_PURITY]] for d in docs]
-
-    number = {f: int(place[i]) for f, i in number.items() if purity[i] >= LEAST_PURITY}
-    weights, bias = fit_weights(chosen(found), chosen(rest), len(number), prior)
+    weights, bias = fit_weights(found, rest, len(number), prior)
     return Classifier(number, weights, bias)
 
 

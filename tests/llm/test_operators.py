@@ -342,3 +342,12 @@ def test_near_duplicate_stage_against_brute_force_jaccard(spark, tile_shingles,
     found = shingles.keep_one_of_each(docs, 5, 0.8, tile_shingles, most_broadcast)
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(wanted)
     assert 40 < len(wanted) < 150
+
+
+def test_a_rare_toxic_word_counts_over_all_texts(spark):
+    word = F.expr("CASE WHEN id % 1000 = 0 THEN ' vilest' WHEN id % 50 = 0 THEN ' foul' ELSE '' END")
+    docs = spark.range(20000, numPartitions=4).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain text"), word).alias("text"))
+    toxic = docs.where("doc_id % 50 = 0").select("doc_id")  # one in 20 of them has the word
+    model = toxicity.learn(docs, toxic, 0.02, most_positive=200, most_unlabelled=200)
+    assert "vilest" in model.number and "plain" not in model.number
+    assert model.weights[model.number["vilest"]] > 0
