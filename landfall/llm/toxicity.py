@@ -21,7 +21,7 @@ from landfall.llm.arrow import annotate, slices, values
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6, 7)  # letters: inflected words share what they begin with
 LEAST_DOCUMENTS = 6     # a feature counts if so many confirmed toxic documents have it
-MOST_FEATURES = 50_000  # the commonest of those
+MOST_FEATURES = 200_000  # of those that pass, the ones with the strongest sign; bounds the model's memory
 LEAST_PURITY = 0.4      # estimated share of toxic texts among those that have a feature, over all texts
 MOST_POSITIVE = 3_000   # documents to fit on
 MOST_UNLABELLED = 8_000
@@ -115,14 +115,15 @@ def counted(df: DataFrame) -> DataFrame:
 
 def telling_features(df: DataFrame, prior: float, least: int = LEAST_DOCUMENTS, most: int = MOST_FEATURES) -> list[str]:
     """Features of the texts of ``df`` (text, confirmed) that at least ``least`` confirmed ones have and that are a sign of
-    toxic text by the counts of all texts. No more than ``most``, the commonest, ties in alphabetical order.
+    toxic text by the counts of all texts. No more than ``most``, those with the strongest sign; ties in alphabetical order.
 
-    By Bayes, of the texts with a feature prior * P(feature | confirmed) / P(feature | all) are toxic.
+    By Bayes, of the texts with a feature prior * P(feature | confirmed) / P(feature | all) are toxic. That share, with one
+    clean text more, is the strength of the sign, so few texts count for less than many.
     """
     all_p, all_u = df.agg(F.count(F.when(F.col("confirmed"), 1)), F.count(F.lit(1))).first()
     purity = prior * (F.col("p") / max(1, all_p)) / ((F.col("u") + 1) / max(1, all_u))
     found = counted(df).where(F.col("p") >= least).where(purity >= LEAST_PURITY)
-    return [r["feature"] for r in found.orderBy(F.desc("p"), "feature").limit(most).select("feature").collect()]
+    return [r["feature"] for r in found.orderBy(F.desc(purity), "feature").limit(most).select("feature").collect()]
 
 
 def present(df: DataFrame, number: dict[str, int]) -> list[np.ndarray]:

@@ -351,3 +351,9 @@ def test_a_rare_toxic_word_counts_over_all_texts(spark):
     model = toxicity.learn(docs, toxic, 0.02, most_positive=200, most_unlabelled=200)
     assert "vilest" in model.number and "plain" not in model.number
     assert model.weights[model.number["vilest"]] > 0
+
+
+def test_the_most_telling_features_are_kept_not_the_commonest(spark):
+    rows = [("mild rarest", True)] * 10 + [("mild", True)] * 30 + [("mild", False)] * 20 + [("other", False)] * 200
+    df = spark.createDataFrame(rows, "text string, confirmed boolean")
+    assert toxicity.telling_features(df, 40 / 260, most=2) == ["^rare", "^rares"]
