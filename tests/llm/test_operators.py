@@ -357,3 +357,12 @@ def test_the_most_telling_features_are_kept_not_the_commonest(spark):
     rows = [("mild rarest", True)] * 10 + [("mild", True)] * 30 + [("mild", False)] * 20 + [("other", False)] * 200
     df = spark.createDataFrame(rows, "text string, confirmed boolean")
     assert toxicity.telling_features(df, 40 / 260, most=2) == ["^rare", "^rares"]
+
+
+def test_rows_that_share_an_id_or_have_none_are_told_apart(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "one text"), (1, "another text"), (1, "another text"), (1, text), (2, text + " more"), (None, text), (None, "third"),
+            (None, "third"), (None, "Third")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = [(r["doc_id"], r["text"].lower()) for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()]
+    assert sorted(found, key=str) == sorted([(1, "one text"), (1, "another text"), (1, text), (None, "third")], key=str)
