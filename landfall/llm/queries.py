@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import (language, lexicon, licences, packing, quality, repetition, search, simhash, tokenfile,
+from landfall.llm import (language, lexicon, licences, merkle, packing, quality, repetition, search, simhash, tokenfile,
                           toxicity)
 from landfall.session import work_path
 
@@ -76,9 +76,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    others, capitals = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    leaf = merkle.leaf([*others, F.col("text")])
+    lowered = merkle.leaf([*others, F.translate("text", capitals, capitals.lower())])
+    tampered = F.when(remainder(3) == 0, lowered).otherwise(leaf)
+    proven = merkle.manifest(documents, leaf, carry={"tampered": tampered})
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.fold(F.col("tampered"), F.col("proof")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_language, op3_packing, op4_quality, op5_simhash, op6_repetition, op7_search, op8_licences,
-    op9_tokenfile, op10_toxicity)}
+    op9_tokenfile, op10_toxicity, op13_merkle)}
 
 # Inner products of whole numbers, so SQL has the same scores to the last digit.
 _TOP_K = """
@@ -96,4 +109,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_search": _TOP_K, "op8_licences": licences.oracle()}
+    return {"op7_search": _TOP_K, "op8_licences": licences.oracle(), "op13_merkle": merkle.oracle()}
