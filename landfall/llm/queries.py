@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import (language, lexicon, licences, merkle, packing, quality, repetition, search, simhash, tokenfile,
+from landfall.llm import (language, lexicon, licences, merkle, packing, periods, quality, repetition, search, simhash, tokenfile,
                           toxicity)
 from landfall.session import work_path
 
@@ -76,6 +76,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _with_planted_runs(documents: DataFrame) -> DataFrame:
+    """One document in ten as its words, of which those from one on repeat: the contract's planted runs."""
+    h = remainder(1 << 32)
+    words = F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    rows = documents.select("doc_id", "text", h.alias("h"), words.alias("words"))
+    rows = rows.select("*", F.size("words").alias("n"), F.expr("h DIV 10").alias("g"))
+    rows = rows.select("*", F.expr("CAST(g % greatest(n, 1) AS INT)").alias("a"))
+    rows = rows.select("*", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)").alias("p"))
+    planted = F.expr("array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), "
+                     "CAST((n - a + p - 1) DIV p AS INT))), 1, n - a)), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapse(_with_planted_runs(_documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n"))))
+    # Fractions are compared crosswise, so exactly; of equal ones the first in order of start and period stays.
+    best = F.aggregate("runs", F.lit(None).cast(periods.RUN), lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     others, capitals = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -91,7 +117,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_language, op3_packing, op4_quality, op5_simhash, op6_repetition, op7_search, op8_licences,
-    op9_tokenfile, op10_toxicity, op13_merkle)}
+    op9_tokenfile, op10_toxicity, op11_periods, op13_merkle)}
 
 # Inner products of whole numbers, so SQL has the same scores to the last digit.
 _TOP_K = """
