@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import (language, lexicon, licences, merkle, packing, periods, quality, repetition, search, simhash, tokenfile,
-                          toxicity)
+from landfall.llm import (language, lexicon, licences, merkle, minhash, packing, periods, quality, repetition, search,
+                          simhash, tokenfile, toxicity)
 from landfall.session import work_path
 
 
@@ -102,6 +102,10 @@ def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length DIV best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     others, capitals = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -117,7 +121,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_language, op3_packing, op4_quality, op5_simhash, op6_repetition, op7_search, op8_licences,
-    op9_tokenfile, op10_toxicity, op11_periods, op13_merkle)}
+    op9_tokenfile, op10_toxicity, op11_periods, op12_minhash, op13_merkle)}
 
 # Inner products of whole numbers, so SQL has the same scores to the last digit.
 _TOP_K = """
@@ -135,4 +139,5 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_search": _TOP_K, "op8_licences": licences.oracle(), "op13_merkle": merkle.oracle()}
+    return {"op7_search": _TOP_K, "op8_licences": licences.oracle(), "op12_minhash": minhash.oracle(),
+            "op13_merkle": merkle.oracle()}
