@@ -353,18 +353,23 @@ WITH RECURSIVE split AS (
   SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), '{capital}', '{capital.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
-sets AS (
-  SELECT row, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
-  FROM split),
-entries AS (SELECT row, len(s) AS n, unnest(s) AS shingle FROM sets),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM split WHERE len(w) >= 4),
+ahead AS (
+  SELECT row, word, lead(word) OVER win AS second, lead(word, 2) OVER win AS third, lead(word, 3) OVER win AS fourth
+  FROM words WINDOW win AS (PARTITION BY row ORDER BY at)),
+shingles AS (
+  SELECT DISTINCT row, word || ' ' || second || ' ' || third || ' ' || fourth AS shingle FROM ahead WHERE fourth IS NOT NULL
+  UNION ALL
+  SELECT row, array_to_string(w, ' ') FROM split WHERE len(w) BETWEEN 1 AND 3),
+entries AS (SELECT row, shingle, count(*) OVER (PARTITION BY row) AS n FROM shingles),
+sizes AS (SELECT row, count(*) AS n FROM shingles GROUP BY row),
 links AS (
   SELECT a.row AS a, b.row AS b FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.row <> b.row
   GROUP BY a.row, b.row HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
 reached AS (
-  SELECT row, row AS other FROM sets
+  SELECT row, row AS other FROM split
   UNION
   SELECT reached.row, links.b FROM reached JOIN links ON links.a = reached.other),
-lowest AS (SELECT r.row, min(s.doc_id) AS component_id FROM reached r JOIN sets s ON s.row = r.other GROUP BY r.row)
-SELECT doc_id, len(s) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
-FROM sets JOIN lowest USING (row)"""
+lowest AS (SELECT r.row, min(s.doc_id) AS component_id FROM reached r JOIN split s ON s.row = r.other GROUP BY r.row)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM split JOIN lowest USING (row) LEFT JOIN sizes USING (row)"""
