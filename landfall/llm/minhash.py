@@ -9,10 +9,11 @@ before, s is at least t with the posterior chance that at most m of n + 1 trials
 below the chosen miss probability, the pair is given up. Survivors are compared by their whole sets, and linked by that
 alone.
 
-No cell of candidates is expanded into its pairs. Each member first meets the cell's pivot, its smallest one; what the
-links found so far connect is not compared again. Then, in cells whose members are still apart, those beside the largest
-component meet all that they are not connected with, in tiles of bounded size, and the pairs that agree best are
-compared exactly before the others.
+No cell of candidates is expanded into its pairs. A cell's pivot is its smallest member, and each class first meets the
+smallest pivot of its cells. Then, in cells whose members are still apart, those beside the largest component meet all
+that they are not connected with, in tiles of bounded size: by signatures alone first, and those who have a surviving
+partner once more with their sets. What is connected is not compared again, and a tile gives one link at most for each
+of its rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.arrow import annotate, values
+from landfall.llm.arrow import annotate, slices, values
 from landfall.llm.simhash import components
 from landfall.session import scratch, work_path
 
@@ -34,9 +35,8 @@ SEED = 42
 ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 BATCH = 32
-TILE_ROWS = 2048  # signatures of one side of a tile, 1 MB
+TILE_ROWS, TILE_SHINGLES = 2048, 500_000  # of one side of a tile: 1 MB of signatures, 4 MB of sets
 HEAD_ROWS = 4096  # pairs that one copy of a pivot serves
-BEST = 4  # partners of a row that are compared exactly before the others
 SHINGLES_AT_ONCE = 1 << 13
 MOST_BROADCAST = 1_000_000  # keys of rows; more are joined by a shuffle
 
@@ -119,14 +119,15 @@ def _sketched(rows: DataFrame, words: int) -> DataFrame:
 
 
 def _entered(classes: DataFrame) -> DataFrame:
-    """A row (cell, class) per class and band."""
+    """A row (cell, class, size) per class and band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [cells(np.frombuffer(s, np.uint32)) for s in batch.column("signature").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array(found, np.int64).reshape(-1)),
-                 pa.array(np.repeat(batch.column("class").to_numpy(), BANDS))], names=["cell", "class"])
-    return classes.select("class", "signature").mapInArrow(run, "cell bigint, class bigint")
+                 *(pa.array(np.repeat(batch.column(c).to_numpy(), BANDS)) for c in ("class", "size"))],
+                names=["cell", "class", "size"])
+    return classes.select("class", "size", "signature").mapInArrow(run, "cell bigint, class bigint, size bigint")
 
 
 def _met(pairs: DataFrame, items: DataFrame, column: str, test) -> DataFrame:
@@ -174,61 +175,71 @@ def _by_signature(bounds: list[int]):
     return test
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets, in order and not empty, share ``percent`` of their union or more."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _by_set(percent: int):
     def test(head: bytes):
         own = np.frombuffer(head, np.uint64)
-
-        def judge(others: list[bytes]) -> np.ndarray:
-            on = np.zeros(len(others), bool)
-            for k, other in enumerate(others):
-                them = np.frombuffer(other, np.uint64)
-                at = np.searchsorted(own, them)
-                both = int((own[np.minimum(at, len(own) - 1)] == them).sum())
-                on[k] = 100 * both >= percent * (len(own) + len(them) - both)
-            return on
-        return judge
+        return lambda others: np.array([similar(own, np.frombuffer(x, np.uint64), percent) for x in others])
     return test
 
 
-def tile_pairs(main: np.ndarray, root: np.ndarray, rows: np.ndarray, bounds: list[int], best: int | None,
-               square: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places (x, y) of the surviving pairs between two roots: of one side with itself, or with the other, ``main``.
+def tile_links(main: np.ndarray, root: np.ndarray, rows: np.ndarray, bounds: list[int], square: bool,
+               similar=None) -> list[tuple[int, int]]:
+    """Links between rows of a tile that connect what all its similar pairs connect, beyond what roots tell.
 
-    With ``best``, of each row on either side only the pairs that agree in the most places.
+    Rows are compared one side with itself if ``square``, else with the other side, ``main``; survivors in order of the
+    places in which they agree, and only while they are not connected. ``similar`` is the exact test of two places.
+    Without it the pairs are survivors, and every row that has one is in some pair, of which there are as many as rows.
+    """
+    label, every, out = root.copy(), np.arange(len(root)), []
+    seen = np.zeros(len(root), bool)
+    for i in np.flatnonzero(~main):
+        others = every[(label != label[i]) & ((every > i) & ~main if square else main)]
+        if not len(others):
+            continue
+        on, matches = agree(np.broadcast_to(rows[i], (len(others), HASHES)), rows[others], bounds)
+        others = others[on]
+        if similar is None:
+            others = others[~seen[others]] if seen[i] else others
+            seen[i] |= len(others) > 0
+            seen[others] = True
+            out += [(int(i), int(j)) for j in others]
+            continue
+        for j in others[np.argsort(-matches, kind="stable")]:
+            if label[j] != label[i] and similar(i, j):
+                out.append((int(i), int(j)))
+                label[label == label[j]] = label[i]
+    return out
+
+
+TILE, KEY_TYPES = ["cell", "square", "x", "y"], [pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
+
+
+def _tiles(members: DataFrame, roots: DataFrame, tile_rows: int, tile_shingles: int) -> DataFrame:
+    """Members of cells that are still apart, dealt to tiles: (cell, square, x, y, is_main, root, class).
+
+    The largest component of a cell is cut into chunks, and what is beside it into others. These meet each other, in
+    square tiles, and the chunks of the largest, whose rows need not meet among themselves. Chunks have about
+    ``tile_rows`` rows or ``tile_shingles`` shingles.
     """
-    side = np.flatnonzero(~main)
-    x, y, m = [], [], []
-    for k, i in enumerate(side):
-        others = side[k + 1:] if square else np.flatnonzero(main)
-        others = others[root[others] != root[i]]
-        if len(others):
-            on, matches = agree(np.broadcast_to(rows[i], (len(others), HASHES)), rows[others], bounds)
-            x.append(np.full(len(on), i)), y.append(others[on]), m.append(matches)
-    if not x:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    x, y, m = np.concatenate(x), np.concatenate(y), np.concatenate(m)
-    if best is not None:
-        keep = np.zeros(len(x), bool)
-        for end in (x, y):
-            order = np.lexsort((-m, end))
-            first = np.r_[0, np.flatnonzero(np.diff(end[order])) + 1] if len(order) else order
-            rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-            keep[order[rank < best]] = True
-        x, y = x[keep], y[keep]
-    return x, y
-
-
-def _apart(members: DataFrame, roots: DataFrame, signatures: DataFrame, bounds: list[int], best: int | None,
-           tile_rows: int) -> DataFrame:
-    """Surviving pairs (a, b), a < b, between members of one cell that the links found so far do not connect."""
     rooted = members.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    parts = rooted.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"),
-                                        F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    # A cell of two has been compared with its pivot.
-    wide = largest.where("all > 2").select(
-        "cell", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / tile_rows).cast("int").alias("mains"),
-        F.ceil((F.col("all") - F.col("most.n")) / tile_rows).cast("int").alias("rests"))
+    parts = rooted.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    apart = parts.groupBy("cell").agg(
+        F.max(F.struct("n", "root", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.count(F.lit(1)).alias("roots")).where("roots > 1")
+
+    def chunks(n, size):
+        return F.greatest(F.ceil(n / tile_rows), F.ceil(size / tile_shingles)).cast("int")
+
+    wide = apart.select("cell", F.col("most.root").alias("main"), chunks(F.col("most.n"), F.col("most.size")).alias("mains"),
+                        chunks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("rests"))
     rows = rooted.join(wide, "cell").withColumn("is_main", F.col("root") == F.col("main"))
     chunk = F.pmod(F.xxhash64("class"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int")
     mains, rests = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("mains", "rests"))
@@ -240,36 +251,59 @@ def _apart(members: DataFrame, roots: DataFrame, signatures: DataFrame, bounds:
     tiles = F.when(F.col("is_main"), F.transform(rests, lambda k: tile(False, k, own))).otherwise(F.concat(
         F.transform(rests, lambda k: tile(True, F.least(own, k), F.greatest(own, k))),
         F.transform(mains, lambda k: tile(False, own, k))))
-    order = ["cell", "square", "x", "y"]
-    dealt = (rows.withColumn("chunk", chunk).withColumn("tile", F.explode(F.array_distinct(tiles)))
-             .select("cell", "tile.*", "is_main", "root", "class").join(signatures, "class"))
+    return (rows.withColumn("chunk", chunk).withColumn("tile", F.explode(tiles))
+            .select("cell", "tile.*", "is_main", "root", "class"))
+
+
+def _by_tile(rows: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
+    """``work`` of the key and the rows of each tile; it returns the arrays of ``schema``, or None for nothing."""
+    columns = ["is_main", "root", "class", *columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
         def out() -> Iterator[pa.RecordBatch]:
-            main, root, own = (np.array([h[k] for h in held]) for k in range(3))
-            rows = np.frombuffer(b"".join(h[3] for h in held), np.uint32).reshape(-1, HASHES)
-            x, y = tile_pairs(main, root, rows, bounds, best, at[1])
-            if len(x):
-                a, b = own[x], own[y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            made = work(at, [list(c) for c in zip(*held)]) if len(held) > 1 else None
+            if made:
+                yield pa.RecordBatch.from_pydict(made)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*order, "is_main", "root", "class", "signature")]
-            for cell, square, x, y, *row in zip(*columns):
-                if (cell, square, x, y) != at:
-                    if len(held) > 1:
+            for part in slices(batch, columns[-1]):
+                for cell, square, x, y, *row in zip(*(part.column(c).to_pylist() for c in (*TILE, *columns))):
+                    if (cell, square, x, y) != at:
                         yield from out()
-                    at, held = (cell, square, x, y), []
-                held.append(row)
-        if len(held) > 1:
-            yield from out()
+                        at, held = (cell, square, x, y), []
+                    held.append(row)
+        yield from out()
+
+    return rows.select(*TILE, *columns).repartition(*TILE).sortWithinPartitions(*TILE, "class").mapInArrow(run, schema)
+
+
+def _hopeful(tiles: DataFrame, bounds: list[int]) -> DataFrame:
+    """The rows of ``tiles`` that have a surviving partner in their tile, without their signatures."""
+    def work(at: tuple, held: list[list]) -> dict | None:
+        main, root = np.array(held[0]), np.array(held[1])
+        rows = np.frombuffer(b"".join(held[3]), np.uint32).reshape(-1, HASHES)
+        on = sorted({i for pair in tile_links(main, root, rows, bounds, at[1]) for i in pair})
+        key = {c: pa.array([v] * len(on), kind) for c, v, kind in zip(TILE, at, KEY_TYPES)}
+        return {**key, "is_main": main[on], "root": root[on], "class": np.array(held[2])[on]} if on else None
 
-    return (dealt.repartition(*order).sortWithinPartitions(*order, "class").mapInArrow(run, "a bigint, b bigint").distinct())
+    return _by_tile(tiles, ["signature"], work, "cell bigint, square boolean, x int, y int, is_main boolean, root bigint, class bigint")
+
+
+def _linked(tiles: DataFrame, bounds: list[int], percent: int) -> DataFrame:
+    """Links (a, b) within the tiles, by whole sets; at most one for each row."""
+    def work(at: tuple, held: list[list]) -> dict | None:
+        rows = np.frombuffer(b"".join(held[3]), np.uint32).reshape(-1, HASHES)
+        sets, own = [np.frombuffer(x, np.uint64) for x in held[4]], held[2]
+        found = tile_links(np.array(held[0]), np.array(held[1]), rows, bounds, at[1],
+                           lambda i, j: similar(sets[i], sets[j], percent))
+        return {"a": [own[i] for i, _ in found], "b": [own[j] for _, j in found]} if found else None
+
+    return _by_tile(tiles, ["signature", "shingles"], work, "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, miss: float = 1e-5, tile_rows: int = TILE_ROWS,
-                    most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+                    tile_shingles: int = TILE_SHINGLES, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Components of documents whose shingle sets are linked at a Jaccard similarity of ``percent`` or more.
 
     Takes doc_id and text of ``df``; other columns are ignored. Returns a row per row of ``df``: doc_id, n_shingles,
@@ -295,7 +329,7 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, miss: floa
         sketches = stored(_sketched(rows, words), "sketches")
         classes = stored(sketches.where("size > 0").groupBy("class").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tag")).alias("first"),
-            F.first("signature").alias("signature")), "classes")
+            F.first("size").alias("size"), F.first("signature").alias("signature")), "classes")
         entries = stored(_entered(classes), "entries")
         # Cells of the same members count once.
         cell = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("pivot"),
@@ -304,11 +338,9 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, miss: floa
         members = stored(entries.join(cell, "cell"), "members")
         signatures = classes.select("class", "signature")
 
-        def verified(pairs: DataFrame, name: str) -> DataFrame:
-            """Of ``pairs`` those whose whole sets are similar enough."""
-            pairs = stored(pairs, f"{name}-pairs")
-            wanted = (pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-                      .join(classes, "class").select("class", "first.doc_id", "first.tag"))
+        def sets_of(needed: DataFrame, name: str) -> DataFrame:
+            """The whole sets (class, shingles) of the classes ``needed``."""
+            wanted = needed.distinct().join(classes, "class").select("class", "first.doc_id", "first.tag")
             if wanted.count() <= most_broadcast:
                 wanted = F.broadcast(wanted)
             own = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["tag"] == wanted["tag"])).select(
@@ -317,23 +349,22 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, miss: floa
             def make():
                 return lambda part: {"shingles": pa.array(
                     [shingle_set(t, words).tobytes() for t in values(part, "text", b"")], pa.binary())}
-            sets = stored(annotate(own, "text", "shingles binary", make).select("class", "shingles")
-                          .dropDuplicates(["class"]), f"{name}-sets")
-            return stored(_met(pairs, sets, "shingles", _by_set(percent)), f"{name}-links")
+            return stored(annotate(own, "text", "shingles binary", make).select("class", "shingles")
+                          .dropDuplicates(["class"]), name)
 
         def connected(links: DataFrame) -> DataFrame:
             return components(links).select(F.col("fingerprint").alias("class"), "root")
 
-        pairs = members.where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-        links = verified(_met(pairs, signatures, "signature", _by_signature(bounds)), "pivots")
-        tried = pairs
-        for name, best in (("best", BEST), ("others", None)):
-            found = _apart(members.select("cell", "class"), connected(links), signatures, bounds, best, tile_rows)
-            found = stored(found.join(tried, ["a", "b"], "left_anti"), name)
-            if found.isEmpty():
-                break
-            links = links.unionByName(verified(found, name))
-            tried = tried.unionByName(found)
+        pairs = members.where("class <> pivot").groupBy(F.col("class").alias("b")).agg(F.min("pivot").alias("a"))
+        pairs = stored(_met(pairs, signatures, "signature", _by_signature(bounds)), "pairs")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("class")), "pair-sets")
+        links = stored(_met(pairs, sets, "shingles", _by_set(percent)), "pair-links")
+        tiles = _tiles(members.select("cell", "class", "size"), connected(links), tile_rows, tile_shingles)
+        tiles = stored(_hopeful(tiles.join(signatures, "class"), bounds), "tiles")
+        if not tiles.isEmpty():
+            sets = sets_of(tiles.select("class"), "tile-sets")
+            whole = tiles.join(signatures, "class").join(sets, "class")
+            links = links.unionByName(stored(_linked(whole, bounds, percent), "tile-links"))
         roots = connected(links)
 
         rooted = classes.join(roots, "class", "left").select("class", "first", F.coalesce("root", "class").alias("root"))
@@ -353,10 +384,10 @@ WITH RECURSIVE split AS (
   SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), '{capital}', '{capital.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
-words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM split WHERE len(w) >= 4),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM split WHERE len(w) >= 4),
 ahead AS (
-  SELECT row, word, lead(word) OVER win AS second, lead(word, 2) OVER win AS third, lead(word, 3) OVER win AS fourth
-  FROM words WINDOW win AS (PARTITION BY row ORDER BY at)),
+  SELECT row, word, lead(word) OVER w AS second, lead(word, 2) OVER w AS third, lead(word, 3) OVER w AS fourth
+  FROM words WINDOW w AS (PARTITION BY row ORDER BY place)),
 shingles AS (
   SELECT DISTINCT row, word || ' ' || second || ' ' || third || ' ' || fourth AS shingle FROM ahead WHERE fourth IS NOT NULL
   UNION ALL

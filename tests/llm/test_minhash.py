@@ -56,7 +56,7 @@ def test_components_against_every_pair(spark, monkeypatch, originals, each, tile
     texts = dict(enumerate(copies(random.Random(each), originals, each, 120, 9)))
     texts |= {len(texts) + k: t for k, t in enumerate(["a b", "A  b", "a b c", "a b c d", "", None, " ", texts[0].upper()])}
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
-    rows = minhash.near_duplicates(df, tile_rows=tile_rows, most_broadcast=most_broadcast).collect()
+    rows = minhash.near_duplicates(df, tile_rows=tile_rows, tile_shingles=120 * tile_rows, most_broadcast=most_broadcast).collect()
     wanted = brute_groups(texts)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == wanted and len(rows) == len(texts)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
