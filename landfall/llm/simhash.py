@@ -284,3 +284,31 @@ def near_duplicates(df: DataFrame, words: int = 4, radius: int = 4) -> DataFrame
              .select("fingerprint", F.coalesce("lowest", "first").alias("component_id")))
     return (prints.join(named, "fingerprint")
             .select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+MOST_BROADCAST = 1_000_000  # keys of rows; more are joined by a shuffle
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+    """Of each component of ``near_duplicates`` one row of ``docs``, the one with the smallest doc_id.
+
+    Texts that are null, empty or blank are one component. Ties go by the hash of the whole row, which also tells rows
+    apart that share a doc_id or have none; of equal rows one stays. A row without a doc_id stays only where no row of its
+    component has one. Columns and their names are those of ``docs``, and an empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    tag = F.xxhash64(*docs.columns)
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", tag.alias("tag"))
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), words, radius)
+    path = work_path(spark, "copies")
+    # Rows that go, and of rows equal throughout, which go too, those that come back as one.
+    copies = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("low"))
+    (copies.select("doc_id", F.col("doc_id").eqNullSafe(F.col("low")).alias("stays"), "n").where("NOT stays OR n > 1")
+     .select(F.col("doc_id.doc_id").alias("key_id"), F.col("doc_id.tag").alias("key_tag"), "stays").write.parquet(path))
+    gone = spark.read.parquet(path)
+
+    def among(keys: DataFrame, how: str) -> DataFrame:
+        keys = F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys
+        return docs.join(keys, docs["doc_id"].eqNullSafe(keys["key_id"]) & (tag == keys["key_tag"]), how)
+
+    return among(gone, "left_anti").unionByName(among(gone.where("stays"), "left_semi").dropDuplicates())
