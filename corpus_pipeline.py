@@ -9,14 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import language, packing, repetition, shingles
+from landfall.llm import language, packing, repetition, simhash
 from landfall.llm.queries import remainder
 from landfall.session import work_path
 
-# Near-duplicates are linked where their sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-WORDS, SIMILARITY = 5, 0.8
-# What test_pipeline_against_plain_python groups by; no stage does.
-RADIUS = 9
+# Near-duplicates are linked where the fingerprints of their shingles of WORDS words differ in RADIUS or fewer bits.
+WORDS, RADIUS = 4, 4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +28,7 @@ def unrepetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates one row, with the smallest doc_id, or without one if no row has one."""
-    return shingles.keep_one_of_each(docs, WORDS, SIMILARITY)
+    return simhash.keep_one_of_each(docs, WORDS, RADIUS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
