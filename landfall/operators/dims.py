@@ -50,16 +50,36 @@ def _label_dimension(arrivals: DataFrame, column: str, name: str, key: str, exis
     return existing.select(key, name).unionByName(assign_keys(fresh, [name], key, start, rows))
 
 
-# The decoded labels come from a CASE with four outcomes each, so these two tables cannot outgrow four rows.
-LABELS = 4
+def dim_modes(arrivals: DataFrame, existing: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """``rows`` is the number of labels, or a bound on it, where the caller knows one; else it is counted."""
+    return _label_dimension(arrivals, "travel_mode", "mode", "travel_mode_id", existing, rows)
 
 
-def dim_modes(arrivals: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    return _label_dimension(arrivals, "travel_mode", "mode", "travel_mode_id", existing, LABELS)
+def dim_visas(arrivals: DataFrame, existing: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """``rows`` as for the modes."""
+    return _label_dimension(arrivals, "visa_category", "name", "visa_category_id", existing, rows)
 
 
-def dim_visas(arrivals: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    return _label_dimension(arrivals, "visa_category", "name", "visa_category_id", existing, LABELS)
+def seen_members(arrivals: DataFrame) -> DataFrame:
+    """What arrivals name of the modes, visa categories and days, each once (``kind, label, day``).
+
+    One pass serves all three dimensions; repeats go before the one shuffle.
+    """
+    def member(kind: str, label: Column, day: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), label.cast("string").alias("label"), day.cast("double").alias("day"))
+
+    none = F.lit(None)
+    members = F.array(member("mode", F.col("travel_mode"), none), member("visa", F.col("visa_category"), none),
+                      *[member("day", none, whole_day(F.col(c))) for c in ("arrdate", "depdate")])
+    return (arrivals.select(F.explode(members).alias("m")).select("m.*")
+            .where(F.col("label").isNotNull() | F.col("day").isNotNull()).distinct())
+
+
+def members_of(seen: DataFrame, kind: str) -> DataFrame:
+    """The members of one kind, in the columns that arrivals have for it."""
+    columns = {"mode": [F.col("label").alias("travel_mode")], "visa": [F.col("label").alias("visa_category")],
+               "day": [F.col("day").alias("arrdate"), F.lit(None).cast("double").alias("depdate")]}
+    return seen.where(F.col("kind") == kind).select(*columns[kind])
 
 
 def dim_airport_types(staged: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -79,8 +99,8 @@ def arrival_days(arrivals: DataFrame) -> DataFrame:
     return arrivals.select(days.alias("ts")).where(F.col("ts").isNotNull()).distinct()
 
 
-def dim_time(arrivals: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One row per day; days already listed stay as they are."""
+def dim_time(arrivals: DataFrame, existing: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """One row per day; days already listed stay as they are. Days are not numbered, so ``rows`` is not needed."""
     days = arrival_days(arrivals)
     if existing is None:
         return days.select(*_calendar(F.col("ts")))

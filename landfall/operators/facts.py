@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import day_number
 from landfall.operators.keys import number_large, tag_of
 from landfall.schemas import FACT_ARRIVALS, FACT_DEMOGRAPHICS
 from landfall.sizing import row_counts, small_side
+from landfall.sources.arrivals import FILE, ROW
 
-# Keys of a dated load are the load day's number times this, plus a position in the day. A load can then be
+# Keys of a dated load are the load day's number times this, plus a place in the day. A load can then be
 # repeated, or days be loaded in any order, without reading or moving the keys of other days.
 DAY_KEYS = 10 ** 12
 
@@ -32,6 +33,7 @@ class Lookups:
 
 
 ROLES = ("citizenship", "residence", "port", "mode", "visa")
+ROLE_KEYS = ("citizenship_country_id", "residence_country_id", "port_id", "travel_mode_id", "visa_category_id")
 
 
 def resolve(arrivals: DataFrame, lookups: Lookups, how: str = "inner", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -76,20 +78,42 @@ def key_facts(facts: DataFrame) -> DataFrame:
     return number_large(facts, order, "immigration_id").select(*FACT_ARRIVALS)
 
 
-def key_facts_by_day(facts: DataFrame, load_date: str, path: str | None = None) -> DataFrame:
-    """Key a dated load: the load day's number in the upper digits, the position within the day in the lower."""
-    order = [load_date, *FACT_ARRIVALS[1:]]
-    numbered = number_large(facts, order, "immigration_id", restart=load_date, path=path)
-    base = day_number(F.col(load_date)).cast("bigint") * DAY_KEYS
-    return numbered.withColumn("immigration_id", base + F.col("immigration_id")).select(*FACT_ARRIVALS, load_date)
+def keyed_by_place(scan: DataFrame, load_date: str, offsets: DataFrame, files: int, lookups: Lookups) -> DataFrame:
+    """Resolved arrivals of the lake, known or not, keyed by where they lie: no sort, no exchange, no second write.
+
+    The key has the load day's number in the upper digits and the arrival's place in the day's files in the lower, from
+    1: a repeated load of the same files gives the same keys, and arrivals that are not loaded leave theirs unused.
+    ``offsets`` is what ``file_offsets`` gives for the scan, of ``files`` rows.
+    """
+    place = scan.select("*", F.col(FILE).alias("file"), F.col(ROW).alias("_row"))
+    place = place.join(small_side(offsets.select("file", "offset"), files), "file")
+    key = day_number(F.col(load_date)).cast("bigint") * DAY_KEYS + F.col("offset") + F.col("_row") + 1
+    return resolve(place.withColumn("immigration_id", key), lookups, "left", (load_date, "immigration_id"))
+
+
+def unknown() -> dict[str, Column]:
+    """By role, whether a resolved arrival's dimension does not know it."""
+    return {role: F.col(key).isNull() for role, key in zip(ROLES, ROLE_KEYS)}
+
+
+def known(resolved: DataFrame) -> DataFrame:
+    """The resolved arrivals that all dimensions know."""
+    return resolved.where(~F.greatest(*unknown().values()))
+
+
+def load_metrics() -> list[Column]:
+    """What a load's report says of its resolved arrivals, as aggregates."""
+    rejected = F.greatest(*unknown().values())
+    return [F.count(F.lit(1)).alias("arrived"), F.count_if(rejected).alias("rejected_any"),
+            *[F.count_if(is_null).alias(f"rejected_{role}") for role, is_null in unknown().items()],
+            F.count_if(~rejected & F.col("arrdate").isNull()).alias("undated_facts")]
 
 
 def fact_rejects(arrivals: DataFrame, lookups: Lookups) -> DataFrame:
     """Arrivals missing from the facts, counted by the dimensions that lack them (``missing``, ``arrivals``)."""
-    keys = ("citizenship_country_id", "residence_country_id", "port_id", "travel_mode_id", "visa_category_id")
-    missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(r)) for r, k in zip(ROLES, keys)])
+    missing = F.concat_ws(",", *[F.when(is_null, F.lit(role)) for role, is_null in unknown().items()])
     return (resolve(arrivals, lookups, "left")
-            .where(F.greatest(*[F.col(k).isNull() for k in keys]))
+            .where(F.greatest(*unknown().values()))
             .groupBy(missing.alias("missing")).agg(F.count(F.lit(1)).alias("arrivals")))
 
 

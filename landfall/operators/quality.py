@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.schemas import MODEL
@@ -94,6 +94,14 @@ def evaluate(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame
     return reduce(DataFrame.unionByName, reports)
 
 
+def report_lines(spark: SparkSession, lines: Iterable[tuple[str, int, str]]) -> DataFrame:
+    """Values that are known already, as lines (name, value, condition) of a report like that of ``evaluate``."""
+    passed = {"> 0": lambda v: v > 0, "== 0": lambda v: v == 0, ">= 0": lambda v: v >= 0}
+    rows = [(name, value, condition, good := passed[condition](value),
+             None if good else f"{name} check failed. Expected {condition}, actual {value}") for name, value, condition in lines]
+    return spark.createDataFrame(rows, "check string, value bigint, condition string, passed boolean, message string")
+
+
 def enforce(report: DataFrame) -> None:
     """Raise with every failure's message; the report has one row per check."""
     failed = [row["message"] for row in report.where(~F.col("passed")).collect()]

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from landfall.operators import dims, facts
-from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks
+from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks, report_lines
 from landfall.plans.dimensions import read_table, table
 from landfall.schemas import FACT_ARRIVALS, TABLES
 from landfall.session import scratch
-from landfall.sinks import folders, write_days, write_snapshot
+from landfall.sinks import loads, write_parts, write_snapshot
 from landfall.sizing import row_counts
-from landfall.sources import read_days, tag_rows
-from landfall.sources.arrivals import read_lake
+from landfall.sources import read_days
+from landfall.sources.arrivals import file_offsets, read_lake
 
 LOAD_DATE = "load_date"
 FACT_KEYS = (LOAD_DATE, "arrival_date")
@@ -25,8 +25,8 @@ _STORED = StructType([*TABLES["fact_immigration"].fields, StructField(LOAD_DATE,
 
 
 def read_facts(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The fact table, partitioned by arrival date."""
-    return spark.read.schema(_STORED).parquet(table(warehouse, "fact_immigration")).select(*FACT_ARRIVALS)
+    """The fact table as its published loads leave it, partitioned by arrival date."""
+    return loads.read(spark, table(warehouse, "fact_immigration"), _STORED, LOAD_DATE).select(*FACT_ARRIVALS)
 
 
 def _required(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
@@ -36,80 +36,85 @@ def _required(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     return found
 
 
-def _days_report(loaded: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
-    """The row-count check of every day in the range, in the form of a check report."""
-    spark = loaded.sparkSession
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias(LOAD_DATE))
-    # Counts per day meet the calendar of the range: both are bounded by its number of days.
-    counted = loaded.where(F.col("arrival_date") == F.col(LOAD_DATE)).groupBy(LOAD_DATE).count()
-    value = F.coalesce(F.col("count"), F.lit(0))
-    name = F.concat(F.lit("Check immigration row count "), F.col(LOAD_DATE).cast("string"))
-    return days.join(F.broadcast(counted), LOAD_DATE, "left").select(
-        name.alias("check"), value.alias("value"), F.lit("> 0").alias("condition"), (value > 0).alias("passed"),
-        F.when(value == 0, F.concat(name, F.lit(" check failed. Expected > 0, actual 0"))).alias("message"))
-
-
-def _account(spark: SparkSession, name: str, count: int) -> DataFrame:
-    """A count as a line of the report that never fails."""
-    return spark.range(1).select(
-        F.lit(name).alias("check"), F.lit(count).cast("bigint").alias("value"), F.lit(">= 0").alias("condition"),
-        F.lit(True).alias("passed"), F.lit(None).cast("string").alias("message"))
-
-
-def _drop_stale(loaded: DataFrame, path: str, first: datetime.date, last: datetime.date) -> None:
-    """Remove the partitions of the load days ``first`` to ``last`` that this load has no row for."""
-    spark = loaded.sparkSession
-    # A pair per load day and arrival date: as many as the load has partitions.
-    fresh = {(str(r[LOAD_DATE]), str(r["arrival_date"])) for r in loaded.select(*FACT_KEYS).distinct().collect()}
-    for day in folders.children(spark, path):
-        date = day.removeprefix(f"{LOAD_DATE}=")
-        if date == day or not str(first) <= date <= str(last):
-            continue
-        for part in folders.children(spark, f"{path}/{day}"):
-            arrival = part.removeprefix("arrival_date=")
-            if arrival != part and (date, arrival) not in fresh:
-                folders.remove(spark, f"{path}/{day}/{part}")
+def staged_days(spark: SparkSession, lake: str, first: datetime.date, last: datetime.date) -> DataFrame:
+    """The lake's arrivals filed under a day from ``first`` to ``last``, with the day as ``load_date``."""
+    return read_days(spark, lake, first, last).withColumn(LOAD_DATE, filed_day()).where(F.col(LOAD_DATE).isNotNull())
+
+
+def filed_day():
+    """The day that the lake's folder names, null where it is none."""
+    return F.try_to_date(F.format_string("%04d-%02d-%02d", "year", "month", "arrival_day"), "yyyy-MM-dd")
+
+
+def _day_lines(commit: loads.Commit) -> list[tuple]:
+    """The row-count check of every day that a load covers: how many of its rows arrived on it."""
+    days = [commit.first + datetime.timedelta(days=k) for k in range((commit.last - commit.first).days + 1)]
+    return [(f"Check immigration row count {day}", commit.rows.get(str(day), {}).get(str(day), 0), "> 0") for day in days]
+
+
+def _accounts(rejected: dict[str, int], undated: int) -> list[tuple]:
+    """Counts to look at, which never fail: what the load left out, and by which dimension did not know it."""
+    return [("Arrivals rejected by a dimension", rejected["any"], ">= 0"),
+            *[(f"Arrivals of unknown {role}", rejected[role], ">= 0") for role in facts.ROLES],
+            ("Arrivals filed under no date", undated, ">= 0")]
 
 
 def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.date,
               last: datetime.date) -> DataFrame:
     """Load the lake's days ``first`` to ``last`` and return the check report after enforcing it.
 
-    Dimensions are written before facts and a repeated load replaces what it wrote, so a failed run may simply be
-    run again. A fact lies below the day whose load brought it and below its arrival date; a load replaces all that
-    earlier loads of its days brought, also arrival dates that it no longer has, and nothing else. The report counts
-    what it leaves out: arrivals that a dimension does not know, and arrivals of the lake that no dated load reaches
-    because their year, month and day are no date.
-    """
-    filed = F.try_to_date(F.format_string("%04d-%02d-%02d", "year", "month", "arrival_day"), "yyyy-MM-dd")
-    staged = tag_rows(read_days(spark, lake, first, last).withColumn(LOAD_DATE, filed)
-                      .where(F.col(LOAD_DATE).isNotNull()))
-    # Both filters are on partition columns: the one scan counts the range, the other opens what has no date.
-    arrived, undated = staged.count(), read_lake(spark, lake).where(filed.isNull()).count()
+    The range is scanned three times: its footers give the rows per file, one aggregate gives the members of the
+    small dimensions, and the write does the rest, with no sort or exchange of the facts. What it left out and which
+    nulls it saw is observed on the way; the rows that were written are read back from the footers, and where a retried
+    task makes the two differ, the observed numbers are counted anew.
 
+    Dimensions are written before facts, and facts appear as a whole when the load's commit is published, so a failed
+    run may simply be run again. A fact lies below the day whose load brought it and below its arrival date; a load
+    replaces all that earlier loads of its days brought, also arrival dates that it no longer has, and nothing else. The
+    report counts what it leaves out: arrivals that a dimension does not know, in all and by dimension, and arrivals of
+    the lake that no dated load reaches because their year, month and day are no date.
+    """
+    staged = staged_days(spark, lake, first, last)
+    # The filter is on partition columns: only folders that name no date are opened.
+    undated = read_lake(spark, lake).where(filed_day().isNull()).count()
     tables = {name: _required(spark, warehouse, name) for name in (
         "dim_country", "dim_states", "dim_ports", "dim_airporttypes", "dim_airports")}
-    for name, load in (("dim_travelmodes", dims.dim_modes), ("dim_visacategories", dims.dim_visas),
-                       ("dim_time", dims.dim_time)):
-        tables[name] = write_snapshot(load(staged, read_table(spark, warehouse, name)), table(warehouse, name))
-    enforce(evaluate(dimension_checks(), tables))
-
-    sides = {"country": tables["dim_country"], "ports": tables["dim_ports"], "modes": tables["dim_travelmodes"],
-             "visas": tables["dim_visacategories"]}
-    lookups = facts.Lookups(**sides, rows=row_counts(sides))
-    rows = facts.fact_rows(staged, lookups, keep=(LOAD_DATE,))
-    with scratch(spark, "facts") as path:
-        loaded = facts.key_facts_by_day(rows, LOAD_DATE, path)
-        write_days(loaded, table(warehouse, "fact_immigration"), FACT_KEYS)
-        _drop_stale(loaded, table(warehouse, "fact_immigration"), first, last)
-        # Rows of earlier loads were checked when they were loaded; these checks read the rows of this load only.
-        tables["fact_immigration"] = loaded
-        others = fact_checks(first)[1:]
-        report = (_days_report(loaded, first, last).unionByName(evaluate(others, tables))
-                  .unionByName(_account(spark, "Arrivals rejected by a dimension", arrived - loaded.count()))
-                  .unionByName(_account(spark, "Arrivals filed under no date", undated)))
-        # One line per day and per check: brought to the driver before the scratch table goes.
-        report = spark.createDataFrame(report.collect(), report.schema)
+    target = table(warehouse, "fact_immigration")
+    with scratch(spark, "load") as path:
+        seen = dims.seen_members(staged)
+        seen.write.parquet(f"{path}/members")
+        seen = spark.read.schema(seen.schema).parquet(f"{path}/members")
+        counts = {r["kind"]: r["rows"] for r in seen.groupBy("kind").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        for name, load, kind in (("dim_travelmodes", dims.dim_modes, "mode"), ("dim_visacategories", dims.dim_visas, "visa"),
+                                 ("dim_time", dims.dim_time, "day")):
+            content = load(dims.members_of(seen, kind), read_table(spark, warehouse, name), counts.get(kind, 0))
+            tables[name] = write_snapshot(content, table(warehouse, name))
+        enforce(evaluate(dimension_checks(), tables))
+
+        offsets = file_offsets(staged, LOAD_DATE)
+        offsets.write.parquet(f"{path}/offsets")
+        offsets = spark.read.schema(offsets.schema).parquet(f"{path}/offsets")
+        arrived, files = offsets.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1))).first()
+
+        sides = {"country": tables["dim_country"], "ports": tables["dim_ports"], "modes": tables["dim_travelmodes"],
+                 "visas": tables["dim_visacategories"]}
+        lookups = facts.Lookups(**sides, rows=row_counts(sides))
+        rows = facts.keyed_by_place(staged, LOAD_DATE, offsets, files, lookups)
+        number, observed = loads.claim(spark, target), Observation(f"load {target}")
+        write_parts(facts.known(rows.observe(observed, *facts.load_metrics())), loads.folder(target, number), FACT_KEYS)
+        written = spark.read.schema(_STORED).parquet(loads.folder(target, number))
+        commit = loads.Commit(number, first, last, loads.counted(written, *FACT_KEYS))
+        metrics = observed.get
+        if metrics["arrived"] != arrived or metrics["arrived"] - metrics["rejected_any"] != commit.total():
+            metrics = rows.agg(*facts.load_metrics()).first().asDict()
+        loads.publish(spark, target, commit)
+
+    # Rows of earlier loads were checked when they were loaded; the check of the facts is of this load's rows only.
+    rejected = {role: metrics[f"rejected_{role}"] for role in ("any", *facts.ROLES)}
+    nulls = [c for c in fact_checks(first)[1:] if c.table == "fact_immigration"]
+    lines = [*_day_lines(commit), *[(c.name, metrics["undated_facts"], c.condition) for c in nulls]]
+    report = (evaluate([c for c in fact_checks(first)[1:] if c.table != "fact_immigration"], tables)
+              .unionByName(report_lines(spark, [*lines, *_accounts(rejected, undated)])))
     enforce(report)
     return report
 

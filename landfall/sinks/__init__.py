@@ -1,6 +1,6 @@
-"""Writers: code-list CSV, date-partitioned Parquet, and full-refresh tables kept as snapshots."""
+"""Writers: code-list CSV, partitioned Parquet, dated loads with commits, and full-refresh tables kept as snapshots."""
 
-from landfall.sinks.files import write_code_list, write_days, write_lake
+from landfall.sinks.files import write_code_list, write_lake, write_parts
 from landfall.sinks.snapshots import read_snapshot, retire, write_snapshot
 
-__all__ = ["read_snapshot", "retire", "write_code_list", "write_days", "write_lake", "write_snapshot"]
+__all__ = ["read_snapshot", "retire", "write_code_list", "write_lake", "write_parts", "write_snapshot"]

@@ -1,4 +1,4 @@
-"""CSV code lists and partitioned Parquet whose partitions are replaced, never appended to twice."""
+"""CSV code lists and partitioned Parquet that is replaced, never appended to twice."""
 
 from __future__ import annotations
 
@@ -18,9 +18,9 @@ def write_code_list(df: DataFrame, path: str, sep: str = ",") -> None:
      .csv(path))
 
 
-def write_days(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``; the others stay."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+def write_parts(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """All of ``df`` below ``path``, in a folder per value of ``keys``. What was there before goes."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(path))
 
 
 def write_lake(cleaned: DataFrame, path: str, delivery: str) -> None:

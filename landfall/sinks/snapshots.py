@@ -2,7 +2,8 @@
 
 Nothing is deleted before its replacement is complete, and a table may be read while its next content is computed
 from it. A snapshot counts from the moment its writer leaves the mark of success in it, which is the last thing it
-does: a load that fails, at whatever point, leaves the previous snapshot the newest.
+does: a load that fails, at whatever point, leaves the previous snapshot the newest. A writer takes a number by making
+a file in its folder, which one writer only can do; of two at a time the one that took the larger number stays newest.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from landfall.sinks import folders
 
-PREFIX, DONE = "snapshot=", "_SUCCESS"
+PREFIX, CLAIM, DONE = "snapshot=", "_claim", "_SUCCESS"
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -39,8 +40,12 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFra
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as the table's next content and return that content as read back."""
     spark = df.sparkSession
-    target = f"{path}/{PREFIX}{max(_numbers(spark, path), default=0) + 1}"
-    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
+    number = max(_numbers(spark, path), default=0) + 1
+    while not folders.create(spark, f"{path}/{PREFIX}{number}/{CLAIM}"):
+        number += 1
+    target = f"{path}/{PREFIX}{number}"
+    # Beside the claim, which an overwrite would remove.
+    df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 

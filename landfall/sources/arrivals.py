@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landfall.schemas import LAKE_ARRIVALS, LAKE_KEYS, RAW_ARRIVALS
@@ -27,6 +27,19 @@ def tag_rows(scan: DataFrame) -> DataFrame:
     return scan.withColumn(ROW_TAG, F.monotonically_increasing_id())
 
 
+FILE, ROW = "_metadata.file_path", "_metadata.row_index"
+
+
+def file_offsets(scan: DataFrame, day: str) -> DataFrame:
+    """Per file of a scan: ``file``, ``day``, its ``rows``, and ``offset``, the rows of the day's files before it by name.
+
+    Nothing but footers is read. There is a row per file, and a day's files are numbered in one task.
+    """
+    sizes = scan.select(F.col(FILE).alias("file"), day).groupBy("file", day).agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy(day).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+
+
 def _day_key(date: datetime.date) -> int:
     return date.year * 10000 + date.month * 100 + date.day
 

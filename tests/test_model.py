@@ -90,7 +90,7 @@ def test_resolution_is_the_same_without_broadcasts(model, monkeypatch):
     lookups = facts.Lookups(model["country"], ports, model["modes"], model["visas"])
     with_hints = facts.fact_rows(model["arrivals"], lookups)
     assert with_hints._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 5
-    monkeypatch.setattr(sizing, "SMALL_ROWS", dims.LABELS)
+    monkeypatch.setattr(sizing, "SMALL_ROWS", 4)
     monkeypatch.setattr(facts, "small_side", lambda df, rows=None: sizing.small_side(df, 10 ** 9 if rows is None
                                                                                      else rows))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

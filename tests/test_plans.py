@@ -5,18 +5,20 @@ from __future__ import annotations
 import dataclasses
 import datetime
 import pathlib
+import re
 import shutil
 
 import pytest
 
-from landfall.operators import counts, quality
+from landfall.operators import counts, facts, quality
 from landfall.plans import facts as fact_plans
 from landfall.plans import views
 from landfall.plans.dimensions import DimensionFiles, build_dimensions, read_table, staging_report
 from landfall.plans.lake import load_lake
-from landfall.schemas import STAGED_DEMOGRAPHICS, TABLES
+from landfall.schemas import FACT_ARRIVALS, STAGED_DEMOGRAPHICS, TABLES
 from landfall.session import shared_dir
-from landfall.sinks import write_code_list
+from landfall.sinks import loads, write_code_list
+from landfall.sources.arrivals import file_offsets
 from tests import samples
 from tests.samples import arrival, raw
 
@@ -70,9 +72,9 @@ def loaded(spark, built, lake, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("loaded") / "warehouse")
     shutil.copytree(built / "warehouse", root)
     report = fact_plans.run_range(spark, lake, root, FIRST, LAST)
-    assert report.count() == 10 and report.where("NOT passed").isEmpty()
+    assert report.count() == 15 and report.where("NOT passed").isEmpty()
     # Facts, rejected and undated arrivals are all of the lake.
-    left_out = {r["check"]: r["value"] for r in report.where("check LIKE 'Arrivals %'").collect()}
+    left_out = {r["check"]: r["value"] for r in report.where("check RLIKE '^Arrivals (rejected|filed)'").collect()}
     assert sum(left_out.values()) + fact_plans.read_facts(spark, root).count() == spark.read.parquet(lake).count()
     return root
 
@@ -84,7 +86,7 @@ def content(spark, root):
 def test_repeating_a_day_changes_nothing(spark, lake, warehouse):
     root, _ = warehouse
     report = fact_plans.run_day(spark, lake, root, FIRST)
-    assert report.count() == 8 and report.where("NOT passed").isEmpty()
+    assert report.count() == 13 and report.where("NOT passed").isEmpty()
     once = content(spark, root)
     # Eight arrivals on the day, three copies; the record filed on the second day is not among them.
     assert len(once) == 11
@@ -175,3 +177,106 @@ def test_questions_in_sql_equal_the_functions(spark, loaded):
     asked = views.ask(spark, "purpose", 2016, [1])
     assert [tuple(r) for r in asked.collect()] == [("Pleasure", 27)]
     assert "dynamicpruning" in asked._jdf.queryExecution().executedPlan().toString()
+
+
+def executions(spark) -> list[str]:
+    """Descriptions of the plans that this session ran."""
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [ran.apply(i).physicalPlanDescription() for i in range(ran.size())]
+
+
+def test_a_load_scans_its_days_three_times_and_moves_no_fact(spark, lake, warehouse):
+    root, _ = warehouse
+    before = len(executions(spark))
+    fact_plans.run_range(spark, lake, root, FIRST, LAST)
+    scans = [p for p in executions(spark)[before:] if lake in p]
+    # Rows per file, members of the small dimensions, the write; and the folders that name no date, of which there is none.
+    assert len(scans) == 4
+    writes = [p for p in scans if "InsertIntoHadoopFsRelationCommand" in p and "fact_immigration" in p]
+    assert len(writes) == 1 and "CollectMetrics" in writes[0]
+    # What is exchanged is the codes of the countries, of which one member each is looked up.
+    assert set(re.findall(r"Arguments: (?:hash|range)partitioning\((\w+)#", writes[0])) == {"code"}
+
+
+def test_keys_are_places_in_the_lake(spark, lake, loaded):
+    staged = fact_plans.staged_days(spark, lake, FIRST, LAST)
+    offsets = {(r["load_date"], r["file"]): r["offset"] for r in file_offsets(staged, "load_date").collect()}
+    rows = staged.selectExpr("load_date", "_metadata.file_path AS f", "_metadata.row_index AS i", "cicid").collect()
+    base = {d: (d - datetime.date(1960, 1, 1)).days * facts.DAY_KEYS for d in {r["load_date"] for r in rows}}
+    places = {base[r["load_date"]] + offsets[r["load_date"], r["f"]] + r["i"] + 1: r["cicid"] for r in rows}
+    assert len(places) == len(rows)  # no two rows have one place, and a day's places are its numbers from 1
+    for d, b in base.items():
+        day = sorted(k - b for k in places if b < k <= b + len(rows))
+        assert day == list(range(1, len(day) + 1))
+    found = {r["immigration_id"]: r["cicid"] for r in fact_plans.read_facts(spark, loaded).collect()}
+    assert len(found) == 28 and found.items() <= places.items()
+
+
+@pytest.mark.parametrize("stop", ["write_parts", "publish"])
+def test_a_load_that_stops_leaves_what_was_there(spark, lake, warehouse, monkeypatch, stop):
+    root, _ = warehouse
+    fact_plans.run_range(spark, lake, root, FIRST, LAST)
+    before, read = content(spark, root), fact_plans.read_facts(spark, root)
+
+    def crash(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(fact_plans.loads if stop == "publish" else fact_plans, stop, crash)
+    with pytest.raises(KeyboardInterrupt):
+        fact_plans.run_day(spark, lake, root, FIRST)
+    assert content(spark, root) == before
+    monkeypatch.undo()
+    fact_plans.run_day(spark, lake, root, FIRST)
+    assert content(spark, root) == before
+    # A reader that began before the load still finds the files it chose.
+    assert sorted(map(str, read.collect())) == before
+    target = f"{root}/fact_immigration"
+    gone = loads.retire(spark, target, "load_date")
+    assert "load=1/load_date=2016-01-01" in gone and content(spark, root) == before
+    assert loads.retire(spark, target, "load_date") == []
+
+
+def test_a_days_rows_that_are_gone_from_the_lake_go_from_the_facts(spark, lake, warehouse, tmp_path):
+    root, _ = warehouse
+    fact_plans.run_range(spark, lake, root, FIRST, LAST)
+    fewer = str(tmp_path / "lake")
+    load_lake(raw(spark, arrival(cicid=1.0)), fewer, "first")
+    with pytest.raises(quality.QualityError, match="row count 2016-01-02 check failed"):
+        fact_plans.run_range(spark, fewer, root, FIRST, LAST)
+    assert [r["cicid"] for r in fact_plans.read_facts(spark, root).collect()] == [1.0]
+
+
+def test_observed_numbers_that_do_not_fit_the_files_are_counted_anew(spark, lake, warehouse, monkeypatch):
+    """A task that ran twice adds up twice; the files do not."""
+    root, _ = warehouse
+    plain = {r["check"]: r["value"] for r in fact_plans.run_range(spark, lake, root, FIRST, LAST).collect()}
+    monkeypatch.setattr(fact_plans.Observation, "get", property(
+        lambda self: {"arrived": 99, "rejected_any": 9, "undated_facts": 9, **{f"rejected_{r}": 9 for r in facts.ROLES}}))
+    again = {r["check"]: r["value"] for r in fact_plans.run_range(spark, lake, root, FIRST, LAST).collect()}
+    assert again == plain and plain["Arrivals of unknown port"] == 0
+
+
+def test_rejects_are_told_by_dimension(spark, built, tmp_path):
+    root, path = str(tmp_path / "warehouse"), str(tmp_path / "lake")
+    shutil.copytree(built / "warehouse", root)
+    load_lake(raw(spark, arrival(cicid=1.0), arrival(cicid=2.0, i94port="ZZZ"), arrival(cicid=3.0, i94port="ZZZ", i94cit=999.0),
+                  arrival(cicid=4.0, i94res=None)), path, "first")
+    found = {r["check"]: r["value"] for r in fact_plans.run_day(spark, path, root, FIRST).collect()}
+    assert {k: v for k, v in found.items() if k.startswith("Arrivals")} == {
+        "Arrivals rejected by a dimension": 3, "Arrivals of unknown citizenship": 1, "Arrivals of unknown residence": 1,
+        "Arrivals of unknown port": 2, "Arrivals of unknown mode": 0, "Arrivals of unknown visa": 0,
+        "Arrivals filed under no date": 0}
+    assert fact_plans.read_facts(spark, root).columns == list(FACT_ARRIVALS)
+
+
+def test_commits_of_loads_side_by_side(spark, tmp_path):
+    path, day = str(tmp_path / "t"), datetime.date
+    assert [loads.claim(spark, path) for _ in range(3)] == [1, 2, 3]
+    # The later number is published first; the earlier one still counts for the days that it alone covers.
+    loads.publish(spark, path, loads.Commit(3, day(2024, 1, 2), day(2024, 1, 4), {"2024-01-02": {"2024-01-02": 5}}))
+    loads.publish(spark, path, loads.Commit(2, day(2024, 1, 1), day(2024, 1, 3), {d: {d: 1} for d in ("2024-01-01", "2024-01-03")}))
+    found = loads.commits(spark, path)
+    assert [c.number for c in found] == [3, 2] and found[0].total() == 5
+    assert loads.live(found) == [(3, "2024-01-02"), (2, "2024-01-01")]
+    assert loads.claim(spark, path) == 4

@@ -10,7 +10,7 @@ from landfall.schemas import (LAKE_ARRIVALS, RAW_ARRIVALS, STAGED_AIRPORTS, STAG
                               STAGED_TEMPERATURES)
 from landfall.operators.dims import dim_country
 from landfall.plans.lake import one_per_code, repeated_codes
-from landfall.sinks import read_snapshot, retire, write_code_list, write_lake, write_snapshot
+from landfall.sinks import read_snapshot, retire, snapshots, write_code_list, write_lake, write_snapshot
 from landfall.sources import (CORRUPT, cast_losses, cast_staged, read_day, read_days, scan_arrivals, stage, tag_rows)
 from landfall.sources.arrivals import ROW_TAG, read_lake
 from landfall.sources.staging import text_schema
@@ -155,3 +155,12 @@ def test_refresh_with_repeated_codes_keeps_members(spark, tmp_path):
     first = dim_country(staged)
     assert sorted(map(tuple, first.collect())) == [(1, "a", "x"), (2, "b", "z")]
     assert sorted(map(tuple, dim_country(staged, dim_country(staged, first)).collect())) == [(1, "a", "x"), (2, "b", "z")]
+
+
+def test_writers_at_one_time_take_different_numbers(spark, tmp_path, monkeypatch):
+    path, df = str(tmp_path / "t"), spark.range(3)
+    monkeypatch.setattr(snapshots, "_numbers", lambda *a: [])  # both see the table as it was before either
+    write_snapshot(df, path), write_snapshot(df.limit(1), path)
+    monkeypatch.undo()
+    assert spark.read.parquet(f"{path}/snapshot=1").count() == 3
+    assert read_snapshot(spark, path, df.schema).count() == 1
