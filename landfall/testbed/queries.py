@@ -403,38 +403,39 @@ def fact_demographics_by_state(spark, sf_dir):
 @query
 def q_port_state(spark, sf_dir):
     s = star(spark, sf_dir)
-    return counts.by_port_and_state(s.fact(COUNTED), s.time, s.ports, s.states, YEAR, MONTHS)
+    return counts.by_port_and_state(s.fact(COUNTED), s.time, s.ports, s.states, YEAR, MONTHS, rows=s.rows)
 
 
 @query
 def q_country(spark, sf_dir):
     s = star(spark, sf_dir)
-    return counts.by_country(s.fact(COUNTED), s.time, s.country, YEAR, MONTHS)
+    return counts.by_country(s.fact(COUNTED), s.time, s.country, YEAR, MONTHS, rows=s.rows)
 
 
 @query
 def q_purpose(spark, sf_dir):
     s = star(spark, sf_dir)
-    return counts.by_purpose(s.fact(COUNTED), s.time, s.visas, YEAR, MONTHS)
+    return counts.by_purpose(s.fact(COUNTED), s.time, s.visas, YEAR, MONTHS, rows=s.rows)
 
 
 @query
 def q_population(spark, sf_dir):
     s = star(spark, sf_dir)
-    return counts.beside_population(s.fact(COUNTED), s.time, s.ports, s.demographics(), YEAR, MONTHS)
+    return counts.beside_population(s.fact(COUNTED), s.time, s.ports, s.demographics(), YEAR, MONTHS, rows=s.rows)
 
 
 @query
 def q_top_countries(spark, sf_dir):
     """The ten countries most arrivals come from."""
     s = star(spark, sf_dir)
-    return counts.by_country(s.fact(COUNTED), s.time, s.country, YEAR, MONTHS, limit=10)
+    return counts.by_country(s.fact(COUNTED), s.time, s.country, YEAR, MONTHS, limit=10, rows=s.rows)
 
 
 @query
 def count_by_dims(spark, sf_dir):
     s = star(spark, sf_dir)
-    return counts.count_by(s.fact(COUNTED), ["year", "month", "mode", "visa"], modes=s.modes, visas=s.visas)
+    return counts.count_by(s.fact(COUNTED), ["year", "month", "mode", "visa"], modes=s.modes, visas=s.visas,
+                           rows=s.rows)
 
 
 @query
@@ -469,6 +470,45 @@ def sql_population(spark, sf_dir):
     return views.ask(spark, "population", YEAR, list(MONTHS))
 
 
+_LOADED: dict[tuple[str, str], str] = {}
+
+
+def _loaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """The warehouse with every day of the event lake loaded, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        root = _event_warehouse(spark, sf_dir)
+        fact_plans.run_range(spark, _event_lake(spark, sf_dir), root, FIRST_EVENT_DAY, LAST_EVENT_DAY)
+        _LOADED[key] = root
+    return _LOADED[key]
+
+
+def _asked(spark: SparkSession, sf_dir: str, question: str) -> DataFrame:
+    views.register_warehouse(spark, _loaded_warehouse(spark, sf_dir))
+    return views.ask(spark, question, FIRST_EVENT_DAY.year, [FIRST_EVENT_DAY.month])
+
+
+@query
+def stored_port_state(spark, sf_dir):
+    """The questions asked of the facts as they are stored: the period picks the folders that are read."""
+    return _asked(spark, sf_dir, "port_and_state")
+
+
+@query
+def stored_country(spark, sf_dir):
+    return _asked(spark, sf_dir, "country")
+
+
+@query
+def stored_purpose(spark, sf_dir):
+    return _asked(spark, sf_dir, "purpose")
+
+
+@query
+def stored_population(spark, sf_dir):
+    return _asked(spark, sf_dir, "population")
+
+
 # ---- quality ----
 
 def _model(spark: SparkSession, sf_dir: str, columns=COUNTED) -> dict[str, DataFrame]:

@@ -38,7 +38,7 @@ class Star:
         self.time = keep("dim_time", dims.dim_time(self.cleaned(["arrdate", "depdate"])))
         self.types = keep("dim_airporttypes", dims.dim_airport_types(self.bed.airports()))
         self.rows = row_counts({"country": self.country, "states": self.states, "ports": self.ports,
-                                "types": self.types, "modes": self.modes, "visas": self.visas})
+                                "types": self.types, "modes": self.modes, "visas": self.visas, "time": self.time})
         self.lookups = facts.Lookups(self.country, self.ports, self.modes, self.visas, self.rows)
 
     def _plan(self, make, *key) -> DataFrame:

@@ -19,6 +19,7 @@ from landfall.schemas import FACT_ARRIVALS, STAGED_DEMOGRAPHICS, TABLES
 from landfall.session import shared_dir
 from landfall.sinks import loads, write_code_list
 from landfall.sources.arrivals import file_offsets
+from landfall.testbed import queries
 from tests import samples
 from tests.samples import arrival, raw
 
@@ -179,6 +180,12 @@ def test_questions_in_sql_equal_the_functions(spark, loaded):
     assert "dynamicpruning" in asked._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_registered_question_reads_only_the_folders_of_its_period(spark):
+    plan = queries.QUERIES["stored_purpose"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "fact_immigration" in line)
+    assert "dynamicpruning" in scan.split("PartitionFilters: ")[1] and "ReadSchema: struct<visa_category_id:bigint>" in scan
+
+
 def executions(spark) -> list[str]:
     """Descriptions of the plans that this session ran."""
     spark._jsc.sc().listenerBus().waitUntilEmpty()
