@@ -23,6 +23,21 @@ def number_small(df: DataFrame, order_by: Sequence[str], key: str, start: int =
     return df.drop(ROW_TAG).select((F.row_number().over(order) + F.lit(start)).cast("bigint").alias(key), "*")
 
 
+RANGE_BYTES = 128 << 20  # of input files per range
+
+
+def ranges_of(df: DataFrame) -> int | None:
+    """How many ranges the files that ``df`` reads call for, None where the session's number of partitions is enough.
+
+    What a plan's leaves hold is known from their files; what joins make of it is only guessed, and not asked here.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    # A leaf of unknown size states the largest number there is.
+    wanted = -(-sum(s for s in sizes if s < 1 << 60) // RANGE_BYTES)
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def number_large(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
                  restart: str | None = None, path: str | None = None) -> DataFrame:
     """The same numbers for any size, without a task that sees all rows.
@@ -30,14 +45,16 @@ def number_large(df: DataFrame, order_by: Sequence[str], key: str, start: int =
     Rows are range-partitioned by ``order_by`` and written sorted to the shared folder. A row's number is then its
     position in its file plus the rows of all earlier files, both of which the written files fix for good: a lost
     executor cannot shift them. Offsets hold one row per file, and there are at most as many files as shuffle
-    partitions. A row tag, if ``df`` carries one, is consumed here: it lets a hot group of rows equal in
+    partitions, or ranges of ``RANGE_BYTES`` of input where these are more. A row tag, if ``df`` carries one, is consumed here: it lets a hot group of rows equal in
     ``order_by`` be split, and as copies are interchangeable any split gives the same result. With ``restart``
     (the leading ordering column) numbering begins anew for each of its values. The result reads from ``path``,
     by default a new one below the shared folder.
     """
     spark = df.sparkSession
     path = path or work_path(spark, key)
-    content = df.repartitionByRange(*order_by, *tag_of(df)).sortWithinPartitions(*order_by).drop(ROW_TAG)
+    ranges, by = ranges_of(df), [*order_by, *tag_of(df)]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    content = dealt.sortWithinPartitions(*order_by).drop(ROW_TAG)
     content.write.option("maxRecordsPerFile", 0).parquet(path)
     written = spark.read.schema(content.schema).parquet(path)
     placed = written.select("*", F.col("_metadata.file_name").alias("_file"),

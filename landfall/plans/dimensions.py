@@ -18,13 +18,18 @@ from landfall.sources.staging import CORRUPT
 
 @dataclass(frozen=True)
 class DimensionFiles:
-    """Where the staged CSV files lie."""
+    """Where the staged CSV files lie.
+
+    ``multiline`` says that airports or demographics have line breaks within quotes. Each of their files is then parsed
+    by one task; without it Spark splits large files.
+    """
 
     countries: str
     states: str
     ports: str
     airports: str
     demographics: str
+    multiline: bool = False
 
 
 def table(warehouse: str, name: str) -> str:
@@ -53,7 +58,7 @@ def staging_report(spark: SparkSession, files: DimensionFiles) -> DataFrame:
         whole = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in schema.names])) >= 0
         checks.append(Check(f"Records of {name} that do not parse", name,
                             F.count_if(F.col(CORRUPT).isNotNull() & whole), ">= 0"))
-        staged[name] = stage(spark, getattr(files, name), schema, sep=sep, keep_corrupt=True, multiline=True)
+        staged[name] = stage(spark, getattr(files, name), schema, sep=sep, keep_corrupt=True, multiline=files.multiline)
     return evaluate(checks, staged)
 
 
@@ -73,8 +78,8 @@ def build_dimensions(spark: SparkSession, files: DimensionFiles, warehouse: str)
     countries = stage(spark, files.countries, schemas.STAGED_COUNTRIES)
     states = stage(spark, files.states, schemas.STAGED_STATES)
     ports = staged_ports(stage(spark, files.ports, schemas.STAGED_PORTS))
-    airports = tag_rows(stage(spark, files.airports, schemas.STAGED_AIRPORTS, multiline=True))
-    demographics = tag_rows(stage(spark, files.demographics, schemas.STAGED_DEMOGRAPHICS, sep=";", multiline=True))
+    airports = tag_rows(stage(spark, files.airports, schemas.STAGED_AIRPORTS, multiline=files.multiline))
+    demographics = tag_rows(stage(spark, files.demographics, schemas.STAGED_DEMOGRAPHICS, sep=";", multiline=files.multiline))
 
     tables = {}
     tables["dim_country"] = refresh("dim_country", dims.dim_country(countries, current("dim_country")))

@@ -569,13 +569,16 @@ def dq_not_null_len(spark, sf_dir):
 
 @query
 def job_code_lists(spark, sf_dir):
-    """Dictionaries to CSV files to staged lists, counted."""
+    """Dictionaries to CSV files to staged lists, whole."""
     folder = work_path(spark, "code-lists")
     paths = lake.extract_code_lists(Testbed(spark, sf_dir).dictionaries(), folder)
     wanted = {"countries": schemas.STAGED_COUNTRIES, "states": schemas.STAGED_STATES, "ports": schemas.STAGED_PORTS}
-    parts = [stage(spark, paths[name], schema).groupBy().agg(F.count(F.lit(1)).alias("codes"))
-             .select(F.lit(name).alias("list_name"), "codes") for name, schema in wanted.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    lists = []
+    for name, schema in wanted.items():
+        columns = [F.col(c) for c in schema.names] + [F.lit(None).cast("string")] * (3 - len(schema.names))
+        lists.append(stage(spark, paths[name], schema).select(F.lit(name).alias("list_name"), *[
+            c.alias(as_name) for c, as_name in zip(columns, ("code", "name", "state_code"))]))
+    return lists[0].unionByName(lists[1]).unionByName(lists[2])
 
 
 @query

@@ -89,3 +89,16 @@ def test_known_members_keep_their_keys(spark, order):
 
 def test_row_counts_in_one_job(spark):
     assert sizing.row_counts({"a": spark.range(3), "b": spark.range(0)}) == {"a": 3, "b": 0}
+
+
+def test_larger_inputs_get_more_ranges(spark, tmp_path, monkeypatch):
+    path, size = str(tmp_path / "t"), 20_000
+    spark.range(size).selectExpr("id", "hash(id) AS x").repartition(4).write.parquet(path)
+    read = spark.read.parquet(path)
+    joined = read.join(read.withColumnRenamed("x", "y"), "id")
+    assert keys.ranges_of(read) is keys.ranges_of(joined) is keys.ranges_of(spark.range(5)) is None
+    monkeypatch.setattr(keys, "RANGE_BYTES", 20_000)
+    few, more = keys.ranges_of(read), keys.ranges_of(joined)  # the files that a join reads, not its guessed product
+    assert 4 < few < more <= 2 * few
+    found = keys.number_large(read, ["x", "id"], "k")
+    assert len(found.inputFiles()) > 4 and found.agg({"k": "max"}).first()[0] == found.select("k").distinct().count() == size
