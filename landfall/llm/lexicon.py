@@ -13,6 +13,7 @@ import mmap
 import os
 import re
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -104,9 +105,6 @@ class Bpe:
             symbols, number = symbols[keep], number[going]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
-
 
 class Automaton:
     """Builds the minimal automaton of sorted words, state by state, as its words come in."""
@@ -226,11 +224,17 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes whole texts. A unit of text is cut into words once; its words come from the lexicon or are merged."""
+    """Encodes whole texts. A unit of text is cut into words once; its words come from the lexicon or are merged.
+
+    Of a unit it keeps the ids, their decimal form, each with a comma after it, and the bytes that they decode to.
+    """
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon):
         self.bpe, self.lexicon = bpe, lexicon
         self.units: dict[str, bytes] = {}
+        self.decimal: dict[str, bytes] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.comma = [b"%d," % i for i in range(len(bpe.bytes))]
         self.words: dict[str, bytes] = {}
 
     def _learn(self, units: set[str]) -> None:
@@ -254,19 +258,25 @@ class Encoder:
         self.words.update(zip(unseen, bpe.merge([w.encode("utf-8", "replace") for w in unseen])))
         get = self.words.__getitem__
         for unit, words in words_of.items():
-            self.units[unit] = b"".join(map(get, words))
+            own = self.units[unit] = b"".join(map(get, words))
+            ids = array("i", own)
+            self.decimal[unit] = b"".join(map(self.comma.__getitem__, ids))
+            self.decoded[unit] = b"".join(map(bpe.bytes.__getitem__, ids))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, bytes]]:
+        """Each text's ids, as little-endian 32-bit numbers, the same in decimal, joined by commas, and decoded."""
         units_of = [WITH_SPACE.findall(t) for t in texts]
         every = set().union(*units_of)
         new = every.difference(self.units)
         if len(self.units) + len(new) > KEPT_UNITS:
             # What these texts share with earlier ones is what is common; the rest is given up.
-            self.units = {u: self.units[u] for u in every if u in self.units}
+            self.units, self.decimal, self.decoded = (
+                {u: kept[u] for u in every if u in kept} for kept in (self.units, self.decimal, self.decoded))
             self.words = {w: self.words[w] for u in self.units for w in cut(u) if w in self.words}
         self._learn(new)
-        get = self.units.__getitem__
-        return [np.frombuffer(b"".join(map(get, units)), "<i4") for units in units_of]
+        ids, decimal, decoded = (kept.__getitem__ for kept in (self.units, self.decimal, self.decoded))
+        return [(b"".join(map(ids, units)), b"".join(map(decimal, units))[:-1],
+                 b"".join(map(decoded, units)).decode("utf-8", "replace").encode()) for units in units_of]
 
 
 @lru_cache(maxsize=1)
@@ -333,18 +343,15 @@ def encode(df: DataFrame, tokenizer: str | None = None, most: int = LEXICON_WORD
 
     def make():
         encoder = worker_encoder(path, digest, shared)
-        bpe = encoder.bpe
-        number = [str(i) for i in range(len(bpe.bytes))]
 
         def work(part: pa.RecordBatch) -> dict:
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
-            for ids in encoder.encode(values(part, "text", "")):
-                plain = ids.tolist()
-                out["n_tokens"].append(len(plain))
-                out["ids_sha256"].append(hashlib.sha256(",".join(map(number.__getitem__, plain)).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(bpe.decode(plain).encode()).hexdigest())
+            for ids, decimal, decoded in encoder.encode(values(part, "text", "")):
+                out["n_tokens"].append(len(ids) // 4)
+                out["ids_sha256"].append(hashlib.sha256(decimal).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
                 if keep_ids:
-                    out["ids"].append(ids)
+                    out["ids"].append(np.frombuffer(ids, "<i4"))
             return {"n_tokens": pa.array(out["n_tokens"], pa.int64()), "ids_sha256": pa.array(out["ids_sha256"], pa.string()),
                     "decoded_sha256": pa.array(out["decoded_sha256"], pa.string()),
                     "ids": pa.array(out["ids"], pa.list_(pa.int32()))}
