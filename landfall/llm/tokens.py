@@ -53,6 +53,21 @@ def marked(unit: str) -> tuple[str, str, str] | None:
     return m.groups() if m else None
 
 
+def still_kept(kept: dict[str, bytes], again: set[str], every: set[str], new: set[str],
+               most: int) -> tuple[dict[str, bytes], set[str]]:
+    """What stays in memory, and which of it is common, when texts with the units ``every`` add the ``new`` ones.
+
+    Where there is no room for more, units stay that came up again since this was last so; or, where these alone leave
+    no room, those that the texts share with earlier ones.
+    """
+    shared = every.difference(new)
+    again.update(shared)
+    if len(kept) + len(new) <= most:
+        return kept, again
+    stay = again if len(again) + len(new) <= most else shared
+    return {u: kept[u] for u in stay}, shared
+
+
 class UnitEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids. Keeps at most about ``UNITS_KEPT`` units in memory."""
 
@@ -64,6 +79,7 @@ class UnitEncoder:
         self.lower = spaced == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.unit = WITHOUT_SPACE if self.lower else WITH_SPACE
         self.kept: dict[str, bytes] = {}
+        self.again: set[str] = set()  # of the kept units those met again since units were last given up
         self.letters = {b: c for c, b in byte_letters().items()}
 
     def _word(self, word: str) -> None:
@@ -92,9 +108,7 @@ class UnitEncoder:
         cut = [self.unit.findall(t) for t in texts]
         every = set().union(*cut)
         new = every.difference(self.kept)
-        if len(self.kept) + len(new) > UNITS_KEPT:
-            # What these texts share with earlier ones is what is common; the rest is given up.
-            self.kept = {u: self.kept[u] for u in every if u in self.kept}
+        self.kept, self.again = still_kept(self.kept, self.again, every, new, UNITS_KEPT)
         self._learn(new)
         get = self.kept.__getitem__
         return [b"".join(map(get, units)) for units in cut]
