@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from landfall.schemas import LAKE_KEYS
-
 
 def write_code_list(df: DataFrame, path: str, sep: str = ",") -> None:
     """CSV with a header that keeps every blank: the writer's trimming of values is switched off."""
@@ -21,16 +18,3 @@ def write_code_list(df: DataFrame, path: str, sep: str = ",") -> None:
 def write_parts(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """All of ``df`` below ``path``, in a folder per value of ``keys``. What was there before goes."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(path))
-
-
-def write_lake(cleaned: DataFrame, path: str, delivery: str) -> None:
-    """Cleaned arrivals of one delivery, by year, month and day of arrival.
-
-    A delivery lies in a folder of its own, so several that bring arrivals of one day add up, and one that is written
-    again replaces all that it brought before and nothing else. The rebalance brings a day's rows together, so days get
-    few files, while AQE splits a day (or a group of equal rows) that outgrows the advisory partition size.
-    """
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", delivery):
-        raise ValueError(f"a delivery's name is letters, digits, '_', '.' and '-': {delivery!r}")
-    (cleaned.hint("rebalance", *LAKE_KEYS).write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(*LAKE_KEYS).parquet(f"{path}/delivery={delivery}"))

@@ -7,7 +7,8 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.schemas import LAKE_ARRIVALS, LAKE_KEYS, RAW_ARRIVALS
+from landfall.schemas import LAKE_KEYS, RAW_ARRIVALS
+from landfall.sinks import lake as deliveries
 
 ROW_TAG = "_row_tag"
 
@@ -45,7 +46,8 @@ def _day_key(date: datetime.date) -> int:
 
 
 def read_lake(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.schema(LAKE_ARRIVALS).parquet(lake).select(*LAKE_ARRIVALS.names)
+    """The lake's arrivals, of merged deliveries as their newest commit has them."""
+    return deliveries.scan(spark, lake)
 
 
 def read_day(spark: SparkSession, lake: str, day: datetime.date) -> DataFrame:

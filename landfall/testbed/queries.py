@@ -15,6 +15,7 @@ from landfall.operators.clean import clean_arrivals
 from landfall.plans import dimensions, lake, views
 from landfall.plans import facts as fact_plans
 from landfall.session import work_path
+from landfall.sinks import lake as deliveries
 from landfall.sinks import read_snapshot, write_code_list, write_lake, write_snapshot
 from landfall.sources import cast_losses, cast_staged, read_day, read_dictionaries, scan_arrivals, stage
 from landfall.sources.arrivals import read_lake
@@ -157,6 +158,19 @@ def sink_two_deliveries(spark, sf_dir):
     return read_lake(spark, path)
 
 
+@query
+def sink_merged_deliveries(spark, sf_dir):
+    """Three deliveries of every day, one of them wrong at first, merged, and the wrong one brought again."""
+    path, cleaned = work_path(spark, "lake"), clean_arrivals(Testbed(spark, sf_dir).event_arrivals())
+    third = F.pmod(F.col("cicid"), F.lit(3))
+    for name, part in (("a", 0), ("b", 0), ("c", 2)):
+        write_lake(cleaned.where(third == part), path, name)
+    deliveries.compact(spark, path)
+    deliveries.retire(spark, path)
+    write_lake(cleaned.where(third == 1), path, "b")
+    return read_lake(spark, path)
+
+
 @query
 def load_full_refresh(spark, sf_dir):
     """A country table refreshed with a longer list: known members keep their keys."""
@@ -552,6 +566,12 @@ def dq_unique(spark, sf_dir):
     return quality.unique_report(_model(spark, sf_dir) | {t: make(spark, sf_dir) for t, make in keyed.items()})
 
 
+@query
+def stored_unique(spark, sf_dir):
+    """The same of the warehouse with all event days loaded."""
+    return fact_plans.stored_unique(spark, _loaded_warehouse(spark, sf_dir))
+
+
 @query
 def dq_orphans(spark, sf_dir):
     """References checked against dimensions of the events' travel modes only, so orphans do occur."""

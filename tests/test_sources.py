@@ -10,7 +10,7 @@ from landfall.schemas import (LAKE_ARRIVALS, RAW_ARRIVALS, STAGED_AIRPORTS, STAG
                               STAGED_TEMPERATURES)
 from landfall.operators.dims import dim_country
 from landfall.plans.lake import one_per_code, repeated_codes
-from landfall.sinks import read_snapshot, retire, snapshots, write_code_list, write_lake, write_snapshot
+from landfall.sinks import lake, read_snapshot, retire, snapshots, write_code_list, write_lake, write_snapshot
 from landfall.sources import (CORRUPT, cast_losses, cast_staged, read_day, read_days, scan_arrivals, stage, tag_rows)
 from landfall.sources.arrivals import ROW_TAG, read_lake
 from landfall.sources.staging import text_schema
@@ -82,20 +82,20 @@ def test_cleaning_edge_rows(spark):
 
 
 def test_lake_deliveries_add_up_and_days_are_pruned(spark, tmp_path):
-    lake = str(tmp_path / "lake")
+    path = str(tmp_path / "lake")
     days = [arrival(cicid=float(i), arrdate=20454.0 + i % 3) for i in range(30)]
-    write_lake(clean_arrivals(raw(spark, *days)), lake, "a")
-    write_lake(clean_arrivals(raw(spark, *days)), lake, "a")
-    assert read_lake(spark, lake).count() == 30
-    write_lake(clean_arrivals(raw(spark, arrival(arrdate=20455.0))), lake, "b")
-    assert read_lake(spark, lake).count() == 31  # a day's second delivery adds to the first
-    second = read_day(spark, lake, datetime.date(2016, 1, 2))
+    write_lake(clean_arrivals(raw(spark, *days)), path, "a")
+    write_lake(clean_arrivals(raw(spark, *days)), path, "a")
+    assert read_lake(spark, path).count() == 30
+    write_lake(clean_arrivals(raw(spark, arrival(arrdate=20455.0))), path, "b")
+    assert read_lake(spark, path).count() == 31  # a day's second delivery adds to the first
+    second = read_day(spark, path, datetime.date(2016, 1, 2))
     assert second.count() == 11 and second.columns == LAKE_ARRIVALS.names
-    assert read_days(spark, lake, datetime.date(2016, 1, 2), datetime.date(2016, 2, 1)).count() == 21
-    write_lake(clean_arrivals(raw(spark, *days[::3])), lake, "a")
-    assert read_lake(spark, lake).count() == 11  # a delivery written again replaces all it brought
+    assert read_days(spark, path, datetime.date(2016, 1, 2), datetime.date(2016, 2, 1)).count() == 21
+    write_lake(clean_arrivals(raw(spark, *days[::3])), path, "a")
+    assert read_lake(spark, path).count() == 11  # a delivery written again replaces all it brought
     with pytest.raises(ValueError):
-        write_lake(clean_arrivals(raw(spark, *days)), lake, "a/b")
+        write_lake(clean_arrivals(raw(spark, *days)), path, "a/b")
     plan = second._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull" in plan and "arrival_day" in plan.split("PartitionFilters")[1]
 
@@ -164,3 +164,76 @@ def test_writers_at_one_time_take_different_numbers(spark, tmp_path, monkeypatch
     monkeypatch.undo()
     assert spark.read.parquet(f"{path}/snapshot=1").count() == 3
     assert read_snapshot(spark, path, df.schema).count() == 1
+
+
+def lake_files(spark, path):
+    return len(read_lake(spark, path).inputFiles())
+
+
+def lake_rows(spark, path):
+    return sorted(map(str, read_lake(spark, path).collect()))
+
+
+@pytest.fixture
+def delivered(spark, tmp_path):
+    """A lake of five small deliveries of three days, with copies and a row without a day."""
+    path = str(tmp_path / "lake")
+    for k in range(5):
+        rows = [arrival(cicid=float(i // 2), arrdate=20454.0 + i % 3, fltno=str(k)) for i in range(12)]
+        write_lake(clean_arrivals(raw(spark, *rows, arrival(arrdate=None))), path, f"d{k}")
+    return path
+
+
+def test_merged_deliveries_have_few_files_and_the_same_rows(spark, delivered):
+    before = lake_rows(spark, delivered)
+    assert lake_files(spark, delivered) >= 20 and len(before) == 65
+    assert lake.compact(spark, delivered) == "merged-1"
+    assert lake_rows(spark, delivered) == before and lake_files(spark, delivered) == 4
+    day = read_day(spark, delivered, datetime.date(2016, 1, 2))
+    assert day.count() == 20 and day.select("_metadata.file_name").distinct().count() == 1 and day.columns == LAKE_ARRIVALS.names
+    assert lake.compact(spark, delivered) is None
+    # A later delivery adds up, and goes into a merge of merges.
+    write_lake(clean_arrivals(raw(spark, arrival(arrdate=20455.0))), delivered, "late")
+    assert len(lake_rows(spark, delivered)) == 66
+    assert lake.compact(spark, delivered, ["late", "merged-1"]) == "merged-2"
+    assert len(lake_rows(spark, delivered)) == 66 and lake_files(spark, delivered) == 4
+    gone = lake.retire(spark, delivered)
+    assert gone == ["d0", "d1", "d2", "d3", "d4", "late", "merged-1"]
+    assert len(lake_rows(spark, delivered)) == 66 and lake.visible(spark, delivered) == ["merged-2"]
+
+
+def test_a_merged_delivery_that_is_written_again_replaces_what_it_brought(spark, delivered):
+    lake.compact(spark, delivered, ["d0", "d1", "d2"])
+    lake.retire(spark, delivered)
+    write_lake(clean_arrivals(raw(spark, arrival(fltno="new"))), delivered, "d1")
+    flights = [r["fltno"] for r in read_lake(spark, delivered).collect()]
+    assert sorted(set(flights)) == ["0", "001", "2", "3", "4", "new"] and flights.count("1") == 0 and len(flights) == 53
+    for name in ("d0", "d2"):
+        write_lake(clean_arrivals(raw(spark, arrival(fltno="x"))), delivered, name)
+    # Nothing is left of the merge, and no merge counts.
+    assert lake.state(spark, delivered).merges == {} and len(lake_rows(spark, delivered)) == 29
+    with pytest.raises(ValueError, match="no such deliveries"):
+        lake.compact(spark, delivered, ["d0", "merged-1"])
+    with pytest.raises(ValueError, match="name is letters"):
+        write_lake(clean_arrivals(raw(spark, arrival())), delivered, "merged-9")
+
+
+def test_an_unfinished_merge_is_not_read(spark, delivered, monkeypatch):
+    before = lake_rows(spark, delivered)
+    with monkeypatch.context() as patched:
+        patched.setattr(lake, "_publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.compact(spark, delivered)
+    assert lake_rows(spark, delivered) == before and len(lake.visible(spark, delivered)) == 5
+    assert lake.retire(spark, delivered) == []
+    # The next merge takes a number of its own; one that another has overtaken gives up.
+    overtaken = lake.state(spark, delivered)
+    assert lake.compact(spark, delivered) == "merged-2" and lake_rows(spark, delivered) == before
+    with pytest.raises(RuntimeError, match="repeat"):
+        lake._publish(spark, delivered, overtaken, lake.State(9, {}))
+    assert "merged-1" in lake.retire(spark, delivered) and lake_rows(spark, delivered) == before
+
+
+def test_merging_a_lake_that_is_not_there(spark, tmp_path):
+    assert lake.compact(spark, str(tmp_path / "none")) is None
+    assert lake.retire(spark, str(tmp_path / "none")) == []
