@@ -9,11 +9,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from landfall.schemas import MODEL
+from landfall.schemas import MODEL, TABLES
 from landfall.sizing import is_small, row_counts
 
 
+FEW_BUCKETS = 1000  # of repeated keys, that are named in a filter; more are joined
+
+
 @dataclass(frozen=True)
 class Check:
     """An aggregate over one table and the condition its value must meet: ``> 0``, ``== 0`` or, for a count to look at, ``>= 0``."""
@@ -109,13 +113,47 @@ def enforce(report: DataFrame) -> None:
         raise QualityError("\n".join(failed))
 
 
+def numbered_key(table: str) -> str | None:
+    """The key that the engine itself numbers, None where a table has none: the first column, if it is a declared BIGINT."""
+    first = TABLES[table].fields[0]
+    return first.name if isinstance(first.dataType, LongType) and first.name in MODEL[table].unique else None
+
+
+def crowded(df: DataFrame, key: str) -> DataFrame:
+    """The ``bucket``s of keys, 32,768 consecutive numbers each, that hold more rows than different keys.
+
+    A task marks the keys of a bucket in a bitmap of 4 KB, and the bitmaps are what is shuffled: for keys that lie close,
+    as the engine numbers them, about a bit a row and not the row's key. Exact for any keys, but dear for scattered ones.
+    """
+    number = F.col(key)
+    return (df.where(number.isNotNull()).groupBy(F.bitmap_bucket_number(number).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(number))).alias("keys"))
+            .where("rows > keys").select("bucket"))
+
+
+def _rows_that_may_repeat(df: DataFrame, key: str) -> DataFrame:
+    """The rows of crowded buckets: none where every key is there once."""
+    bucket, found = F.bitmap_bucket_number(key), crowded(df, key)
+    full = [r["bucket"] for r in found.take(FEW_BUCKETS + 1)]
+    if len(full) <= FEW_BUCKETS:
+        return df.where(bucket.isin(full) if full else F.lit(False))
+    return df.withColumn("bucket", bucket).join(found, "bucket", "left_semi")
+
+
 def unique_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per declared-unique column: how many values occur more than once, and over how many rows."""
+    """Per declared-unique column: how many values occur more than once, and over how many rows.
+
+    Keys that the engine numbers are looked at by bitmaps first, in a job a table; only where some repeat are the rows
+    of their buckets, and no others, grouped by key. Other columns are grouped by value.
+    """
     reports = []
     for table, df in tables.items():
         for column in MODEL[table].unique:
-            repeated = (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") > 1))
+            rows = df.select(column).where(F.col(column).isNotNull())
+            if column == numbered_key(table):
+                rows = _rows_that_may_repeat(rows, column)
+            repeated = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
             reports.append(repeated.groupBy().agg(
                 F.count(F.lit(1)).alias("repeated_values"),
                 F.coalesce(F.sum("n"), F.lit(0)).alias("repeated_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from landfall.operators import dims, facts
-from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks, report_lines
+from landfall.operators.quality import dimension_checks, enforce, evaluate, fact_checks, report_lines, unique_report
 from landfall.plans.dimensions import read_table, table
 from landfall.schemas import FACT_ARRIVALS, TABLES
 from landfall.session import scratch
@@ -122,3 +122,9 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
 def run_day(spark: SparkSession, lake: str, warehouse: str, day: datetime.date) -> DataFrame:
     """The daily load: the range of one day."""
     return run_range(spark, lake, warehouse, day, day)
+
+
+def stored_unique(spark: SparkSession, warehouse: str) -> DataFrame:
+    """``unique_report`` of a loaded warehouse, facts included. The facts' keys are read, and their bitmaps shuffled."""
+    tables = {name: _required(spark, warehouse, name) for name in TABLES if name != "fact_immigration"}
+    return unique_report(tables | {"fact_immigration": read_facts(spark, warehouse)})

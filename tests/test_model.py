@@ -177,6 +177,33 @@ def test_unique_report_lists_repeats(model):
     assert set(found.values()) == {(0, 0)} and ("fact_immigration", "immigration_id") in found
 
 
+KEYS = [*range(1, 70_000), *range(10**12, 10**12 + 500)]
+
+
+@pytest.mark.parametrize("few", [1000, 1])
+def test_repeated_keys_are_found_by_their_buckets(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW_BUCKETS", few)
+    repeated = [5, 5, 6, 32_768, 32_769, 10**12, -3, -3, None, None]
+    facts = spark.createDataFrame([(k,) for k in KEYS + repeated], "immigration_id bigint")
+    assert quality.numbered_key("fact_immigration") == "immigration_id"
+    assert quality.crowded(facts, "immigration_id").count() == 4
+    found = quality.unique_report({"fact_immigration": facts}).collect()
+    # 5 is there three times, and 6, 32768, 32769, the large one and -3 twice.
+    assert [tuple(r) for r in found] == [("fact_immigration", "immigration_id", 6, 13)]
+    empty = quality.unique_report({"fact_immigration": facts.limit(0)}).first()
+    assert empty["repeated_values"] == 0 and empty["repeated_rows"] == 0
+
+
+def test_keys_that_do_not_repeat_are_not_grouped(spark):
+    facts = spark.createDataFrame([(k,) for k in KEYS], "immigration_id bigint")
+    report = quality.unique_report({"fact_immigration": facts})
+    assert tuple(report.first())[2:] == (0, 0)
+    # The facts are gone from the plan: what is left is grouped over no rows.
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation <empty>" in plan and "LogicalRDD" not in plan
+    assert [table for table in TABLES if quality.numbered_key(table) is None] == ["dim_time"]
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_orphan_report(model, monkeypatch, small):
     if not small:

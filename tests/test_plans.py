@@ -17,6 +17,7 @@ from landfall.plans.dimensions import DimensionFiles, build_dimensions, read_tab
 from landfall.plans.lake import load_lake
 from landfall.schemas import FACT_ARRIVALS, STAGED_DEMOGRAPHICS, TABLES
 from landfall.session import shared_dir
+from landfall.sinks import lake as deliveries
 from landfall.sinks import loads, write_code_list
 from landfall.sources.arrivals import file_offsets
 from landfall.testbed import queries
@@ -220,6 +221,28 @@ def test_keys_are_places_in_the_lake(spark, lake, loaded):
     assert len(found) == 28 and found.items() <= places.items()
 
 
+def test_keys_of_a_loaded_warehouse_are_unique(spark, loaded):
+    found = {(r["table_name"], r["column_name"]): r["repeated_rows"] for r in fact_plans.stored_unique(spark, loaded).collect()}
+    assert found.pop(("dim_ports", "port_name")) == 2
+    assert len(found) == 15 and set(found.values()) == {0}
+
+
+def test_days_load_alike_after_a_merge_of_the_lake(spark, lake, loaded, warehouse, tmp_path):
+    """The rows are the same; their keys are those of their new places, and unique."""
+    root, _ = warehouse
+    merged = str(tmp_path / "lake")
+    shutil.copytree(lake, merged)
+    load_lake(raw(spark, arrival(cicid=500.0), arrival(cicid=501.0)), merged, "second")
+    deliveries.compact(spark, merged)
+    deliveries.retire(spark, merged)
+    fact_plans.run_range(spark, merged, root, FIRST, LAST)
+    facts_of = [fact_plans.read_facts(spark, w).drop("immigration_id") for w in (root, loaded)]
+    added = facts_of[0].exceptAll(facts_of[1])
+    assert sorted(r["cicid"] for r in added.collect()) == [500.0, 501.0] and facts_of[1].exceptAll(facts_of[0]).isEmpty()
+    report = fact_plans.stored_unique(spark, root).where("table_name = 'fact_immigration'")
+    assert report.first()["repeated_rows"] == 0
+
+
 @pytest.mark.parametrize("stop", ["write_parts", "publish"])
 def test_a_load_that_stops_leaves_what_was_there(spark, lake, warehouse, monkeypatch, stop):
     root, _ = warehouse
