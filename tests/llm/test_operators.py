@@ -48,6 +48,15 @@ def test_units_are_encoded_as_whole_texts_are():
             assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, (name, text)
 
 
+def test_units_cut_by_plain_replacements_are_those_of_the_expressions():
+    rng = random.Random(2)
+    for letters in ("ab \n", "a  \n\n\t\xa0\x1c\0é\u3000\u2003"):
+        for _ in range(20000):
+            text = "".join(rng.choices(letters, k=rng.randint(0, 8)))
+            assert tokens.spaced_units(text) == tokens.WITH_SPACE.findall(text), repr(text)
+            assert tokens.bare_units(text) == tokens.WITHOUT_SPACE.findall(text), repr(text)
+
+
 def test_lexicon_encoding_is_exact(spark, odd):
     found = {r["doc_id"]: r for r in lexicon.encode(odd.select("doc_id", "text"), most=40).collect()}
     whole = library(tokens.BYTE_BPE)
