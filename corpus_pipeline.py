@@ -18,8 +18,11 @@ WORDS, RADIUS = 4, 4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined. Prototypes are learned from ``docs`` outside the held-out fold."""
-    return language.keep_identified(docs, language.learn(docs.where(F.coalesce(remainder(3) != 1, F.lit(False)))))
+    """Documents whose language is determined. Prototypes, and the cosine that a text of some length must reach, are
+    learned from ``docs`` outside the held-out fold."""
+    fold = docs.where(F.coalesce(remainder(3) != 1, F.lit(False)))
+    model = language.learn(fold)
+    return language.keep_identified(docs, model, language.learn_levels(fold, model))
 
 
 def unrepetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

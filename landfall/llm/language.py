@@ -21,9 +21,16 @@ DIMENSIONS = 1024
 SYMBOLS = 64
 SEED = 20260
 UNDETERMINED = "und"
-LEAST_COSINE = 0.05  # the cosine of text in no known language stays near 0, 0.03 one way or the other
+LEAST_COSINE = 0.05  # where no levels are learned: random vectors have a cosine of 0.03 one way or the other
 CHARS_AT_ONCE = 1 << 21
 
+# Acceptance levels: of the learned texts of about a length, and of shorter ones where those are too few to tell, at most
+# one in LEVEL_ROWS has a cosine with its own language below the quantile; text of other languages stays far below it.
+LENGTHS = 40            # classes of texts by the power of two of their number of trigrams
+CELLS = 256             # of cosines from 0 to 1
+LEVEL_ROWS = 1_000
+LEVEL_SHARE = 0.8       # of the quantile, for clean texts unlike those learned from
+
 
 def letter_vectors(dimensions: int) -> np.ndarray:
     return np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (SYMBOLS, dimensions))
@@ -140,8 +147,68 @@ def learn(df: DataFrame, dimensions: int = DIMENSIONS) -> Prototypes:
     return Prototypes([r["lang"] for r in sums], vectors / np.where(norms == 0, 1, norms))
 
 
-def _scorer(model: Prototypes, dimensions: int, least: float):
+def _lengths(counts: np.ndarray) -> np.ndarray:
+    """The class of each text by its number of trigrams; a text without any is in the first."""
+    return np.minimum(np.log2(np.maximum(counts.sum(axis=1), 1)).astype(np.int64), LENGTHS - 1)
+
+
+def _cosines(vectors: np.ndarray, model: Prototypes) -> np.ndarray:
+    norm = np.linalg.norm(vectors, axis=1)
+    return np.stack([vectors @ v for v in model.vectors], axis=1) / np.where(norm == 0, 1, norm)[:, None]
+
+
+def learn_levels(df: DataFrame, model: Prototypes) -> np.ndarray:
+    """The least cosine to accept by class of length, from all rows of ``df`` (text, lang) that the prototypes know.
+
+    Counted as histograms of cosines with the row's own language, by length; a table of at most ``LENGTHS * CELLS`` rows
+    is collected. A class with fewer than ``LEVEL_ROWS`` rows takes in those of shorter texts. Its level is
+    ``LEVEL_SHARE`` of the quantile 1 / ``LEVEL_ROWS``, and never above that of longer texts, so a class without rows
+    has that of the nearest class that has some. Without any such row all levels are 0.
+    """
+    dimensions, place = model.vectors.shape[1], {name: i for i, name in enumerate(model.languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trigrams, space, cells = Trigrams(), Space(dimensions), np.zeros((LENGTHS, CELLS), np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                own = np.array([place.get(x, -1) for x in part.column("lang").to_pylist()])
+                grams, counts = trigrams.count(values(part, "text", ""))
+                rows = np.flatnonzero((own >= 0) & (counts.sum(axis=1) > 0))
+                if len(rows):
+                    cosine = _cosines(space.bundle(grams, counts[rows]).astype(np.float64), model)
+                    cell = np.clip(cosine[np.arange(len(rows)), own[rows]] * CELLS, 0, CELLS - 1).astype(np.int64)
+                    np.add.at(cells, (_lengths(counts[rows]), cell), 1)
+        length, cell = np.nonzero(cells)
+        yield pa.RecordBatch.from_pydict({"length": pa.array(length, pa.int32()), "cell": pa.array(cell, pa.int32()),
+                                          "n": pa.array(cells[length, cell], pa.int64())})
+
+    labelled = df.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    histogram = np.zeros((LENGTHS, CELLS), np.int64)
+    if model.languages:
+        counted = labelled.mapInArrow(run, "length int, cell int, n bigint").groupBy("length", "cell").agg(F.sum("n").alias("n"))
+        for r in counted.collect():
+            histogram[r["length"], r["cell"]] = r["n"]
+    return levels_of(histogram)
+
+
+def levels_of(histogram: np.ndarray) -> np.ndarray:
+    """Acceptance levels from counts of rows by class of length and cell of the cosine."""
+    levels = np.full(LENGTHS, np.inf)
+    for length in range(LENGTHS):
+        pool = np.zeros(CELLS, np.int64)
+        for shorter in range(length, -1, -1):
+            pool = pool + histogram[shorter]
+            if pool.sum() >= LEVEL_ROWS:
+                break
+        if pool.any():
+            levels[length] = LEVEL_SHARE / CELLS * np.searchsorted(np.cumsum(pool), pool.sum() / LEVEL_ROWS)
+    levels = np.minimum.accumulate(levels[::-1])[::-1]
+    return np.where(np.isinf(levels), 0, levels)
+
+
+def _scorer(model: Prototypes, dimensions: int, least: float | np.ndarray):
     def make():
+        levels = np.broadcast_to(least, LENGTHS)
         trigrams, space = Trigrams(), Space(dimensions)
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
 
@@ -152,14 +219,13 @@ def _scorer(model: Prototypes, dimensions: int, least: float):
                 return {"lang_pred": pa.array([UNDETERMINED] * len(texts)), "score": np.zeros(len(texts)),
                         "accepted": np.zeros(len(texts), bool)}
             vectors = space.bundle(grams, counts).astype(np.float64)
-            norm = np.linalg.norm(vectors, axis=1)
-            cosine = np.stack([vectors @ v for v in model.vectors], axis=1) / np.where(norm == 0, 1, norm)[:, None]
+            cosine = _cosines(vectors, model)
             best = cosine.argmax(axis=1)
             score = np.clip(cosine[np.arange(len(texts)), best], 0, 1)
             blank = counts.sum(axis=1) == 0
             pred = np.where(blank, len(model.languages), best)
             return {"lang_pred": pa.array(names[pred], pa.string()), "score": np.where(blank, 0.0, score),
-                    "accepted": ~blank & (score >= least)}
+                    "accepted": ~blank & (score >= levels[_lengths(counts)])}
         return work
     return make
 
@@ -167,15 +233,17 @@ def _scorer(model: Prototypes, dimensions: int, least: float):
 SCORED = "lang_pred string, score double, accepted boolean"
 
 
-def identify(df: DataFrame, model: Prototypes, least: float = LEAST_COSINE) -> DataFrame:
+def identify(df: DataFrame, model: Prototypes, least: float | np.ndarray = LEAST_COSINE) -> DataFrame:
     """``df`` with lang_pred (``und`` if the text is null or has no letter), score (cosine, not below 0) and accepted.
 
     Ties go to the language first in order. Rows are judged one by one from their text alone; columns of ``df`` with
     these names are replaced; an empty table gives no rows. Without any labelled text to learn from all is ``und``.
+    ``least`` is the least cosine accepted, one for all texts or, as ``learn_levels`` gives them, by length.
     """
     return annotate(df, "text", SCORED, _scorer(model, model.vectors.shape[1], least))
 
 
-def keep_identified(df: DataFrame, model: Prototypes, least: float = LEAST_COSINE) -> DataFrame:
-    """The rows of ``df`` whose language is determined with a cosine of ``least`` or more, with ``df``'s columns."""
+def keep_identified(df: DataFrame, model: Prototypes, least: float | np.ndarray) -> DataFrame:
+    """The rows of ``df`` whose language is determined with a cosine of ``least`` (see ``identify``) or more, with
+    ``df``'s columns."""
     return annotate(df, "text", SCORED, _scorer(model, model.vectors.shape[1], least), keep="accepted")

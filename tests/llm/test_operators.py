@@ -219,6 +219,37 @@ def test_language_on_held_out_texts(spark, odd):
     assert {r["lang_pred"] for r in language.identify(odd, empty).collect()} <= {"und", "x"}
 
 
+ITALIAN = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita e quanto a "
+           "dir qual era è cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura ")
+POLISH = ("Litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił dziś piękność "
+          "twą w całej ozdobie widzę i opisuję bo tęsknię po tobie ")
+
+
+def test_levels_reject_other_languages_and_keep_the_learned_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(150)) for _ in range(5)]
+    others = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate([6 * ITALIAN, 6 * POLISH, *noise])],
+                                   "doc_id bigint, text string, lang string")
+    fold = docs.where("doc_id % 3 <> 1")
+    model = language.learn(fold)
+    levels = language.learn_levels(fold, model)
+    kept = {r["doc_id"] for r in language.keep_identified(docs.unionByName(others), model, levels).collect()}
+    assert not [i for i in kept if i < 0], levels
+    lettered = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert kept <= lettered and len(kept) >= 0.998 * len(lettered)
+
+
+def test_levels_of_histograms(spark):
+    cells = np.zeros((language.LENGTHS, language.CELLS), np.int64)
+    assert not language.levels_of(cells).any()
+    cells[8, 64], cells[8, 128], cells[12, 192] = 1, 1999, 5  # one row of 2,000 is below the quantile; five rows are too few
+    levels = language.levels_of(cells)
+    assert levels[8] == 0.8 * 128 / 256 and levels[12] == levels[8] and (levels[:8] == levels[8]).all()
+    empty = spark.createDataFrame([], "text string, lang string")
+    assert not language.learn_levels(empty, language.learn(empty)).any()
+
+
 def test_bundles_are_sums_of_bound_letters():
     text, d = "abca", 64
     grams, counts = language.Trigrams().count([text])
