@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.arrow import annotate, slices, values
-from landfall.llm.tokens import BYTE_BPE, SPACES, WITH_SPACE, byte_letters, marked, tokenizer_path
+from landfall.llm.tokens import BYTE_BPE, SPACES, byte_letters, marked, spaced_units, tokenizer_path
 from landfall.session import work_path
 
 LEXICON_WORDS = 131_072
@@ -80,30 +80,39 @@ class Bpe:
         number = np.array([i for i, w in enumerate(words) if w], np.int64)
         size = np.array([len(words[i]) for i in number], np.int64)
         symbols = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        rank, changed = np.full(len(symbols), NO_RANK, np.int64), np.arange(len(symbols))
         while len(number):
-            start = np.cumsum(size) - size
-            rank = np.full(len(symbols), NO_RANK, np.int64)
-            key = symbols[:-1] << 32 | symbols[1:]
-            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-            found = np.flatnonzero(self.pair[at] == key)
-            rank[found] = self.rank[at[found]]
-            rank[start + size - 1] = NO_RANK  # a word's last symbol begins no pair
+            end = np.cumsum(size)
+            start = end - size
+            # Only pairs that a merge has touched are looked up again.
+            rank[changed] = self._ranks(symbols, changed)
+            rank[end - 1] = NO_RANK  # a word's last symbol begins no pair
             lowest = np.minimum.reduceat(rank, start)
-            for i in np.flatnonzero(lowest == NO_RANK):
-                out[number[i]] = symbols[start[i]:start[i] + size[i]].astype("<i4").tobytes()
             going = lowest < NO_RANK
+            stays = np.repeat(going, size)
+            data, at = symbols[~stays].astype("<i4").tobytes(), 0
+            for i, n in zip(number[~going].tolist(), (4 * size[~going]).tolist()):
+                out[i] = data[at:at + n]
+                at += n
             word = np.repeat(np.arange(len(number)), size)
-            here = (rank == lowest[word]) & (rank < NO_RANK)
+            here = (rank == lowest[word]) & stays
             # Of places next to each other (a run of one symbol), every second one merges, from the left.
             place = np.arange(len(here))
             run = place - np.maximum.accumulate(np.where(here, 0, place + 1))
             here &= run % 2 == 0
             symbols[here] = self.made[rank[here]]
-            keep = np.repeat(going, size) & ~np.append(False, here[:-1])
+            keep = stays & ~np.append(False, here[:-1])
+            changed = np.flatnonzero((here | np.append(here[1:], False))[keep])
             size = np.bincount(word[keep], minlength=len(number))[going]
-            symbols, number = symbols[keep], number[going]
+            symbols, rank, number = symbols[keep], rank[keep], number[going]
         return out
 
+    def _ranks(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs that begin at ``places``; that of the last symbol of all is not defined."""
+        key = symbols[places] << 32 | symbols[np.minimum(places + 1, len(symbols) - 1)]
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.rank[at], NO_RANK)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -257,7 +266,7 @@ class Encoder:
             self.units[unit] = b"".join(map(get, words))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        units_of = [WITH_SPACE.findall(t) for t in texts]
+        units_of = [spaced_units(t) for t in texts]
         every = set().union(*units_of)
         new = every.difference(self.units)
         if len(self.units) + len(new) > KEPT_UNITS:
@@ -294,7 +303,7 @@ def frequent_words(df: DataFrame, most: int = LEXICON_WORDS) -> list[str]:
         for batch in batches:
             for part in slices(batch, "text"):
                 for text in values(part, "text", ""):
-                    units.update(WITH_SPACE.findall(text))
+                    units.update(spaced_units(text))
                 if len(units) > COUNTED_AT_ONCE:
                     yield out()
                     units = Counter()
