@@ -11,7 +11,7 @@ from landfall.functions import day_number
 from landfall.operators.keys import number_large, tag_of
 from landfall.schemas import FACT_ARRIVALS, FACT_DEMOGRAPHICS
 from landfall.sizing import row_counts, small_side
-from landfall.sources.arrivals import FILE, ROW
+from landfall.sources.arrivals import FILE, ROW, ROW_TAG
 
 # Keys of a dated load are the load day's number times this, plus a place in the day. A load can then be
 # repeated, or days be loaded in any order, without reading or moving the keys of other days.
@@ -91,6 +91,18 @@ def keyed_by_place(scan: DataFrame, load_date: str, offsets: DataFrame, files: i
     return resolve(place.withColumn("immigration_id", key), lookups, "left", (load_date, "immigration_id"))
 
 
+def keyed_by_order(placed: DataFrame, load_date: str, path: str | None = None) -> DataFrame:
+    """Facts keyed by place, keyed anew by order: a day's facts are ``1, 2, ...`` by all columns, after the day's number.
+
+    Where facts lie does not matter then, only what they are. Days are sorted over many tasks; the keys by place serve as
+    row tags, so that a day's equal facts may be split too. ``placed`` is evaluated twice, so it should be a written table.
+    """
+    tagged = placed.withColumnRenamed("immigration_id", ROW_TAG)
+    numbered = number_large(tagged, [load_date, *FACT_ARRIVALS[1:]], "immigration_id", restart=load_date, path=path)
+    key = day_number(F.col(load_date)).cast("bigint") * DAY_KEYS + F.col("immigration_id")
+    return numbered.withColumn("immigration_id", key).select(*FACT_ARRIVALS, load_date)
+
+
 def unknown() -> dict[str, Column]:
     """By role, whether a resolved arrival's dimension does not know it."""
     return {role: F.col(key).isNull() for role, key in zip(ROLES, ROLE_KEYS)}

@@ -8,6 +8,7 @@ import pathlib
 import re
 import shutil
 
+import duckdb
 import pytest
 
 from landfall.operators import counts, facts, quality
@@ -20,8 +21,9 @@ from landfall.session import shared_dir
 from landfall.sinks import lake as deliveries
 from landfall.sinks import loads, write_code_list
 from landfall.sources.arrivals import file_offsets
-from landfall.testbed import queries
+from landfall.testbed import oracles, queries
 from tests import samples
+from tests.compare import difference
 from tests.samples import arrival, raw
 
 FIRST, LAST = datetime.date(2016, 1, 1), datetime.date(2016, 1, 3)
@@ -310,3 +312,72 @@ def test_commits_of_loads_side_by_side(spark, tmp_path):
     assert [c.number for c in found] == [3, 2] and found[0].total() == 5
     assert loads.live(found) == [(3, "2024-01-02"), (2, "2024-01-01")]
     assert loads.claim(spark, path) == 4
+
+
+def ordered_keys(rows):
+    """By load day, the keys that a load in order gives: numbers from 1 in order of the facts' columns, nulls first."""
+    by_day: dict[int, list] = {}
+    for r in rows:
+        by_day.setdefault(r["immigration_id"] // facts.DAY_KEYS, []).append(r)
+    for day, found in by_day.items():
+        found.sort(key=lambda r: r["immigration_id"])
+        assert [r["immigration_id"] - day * facts.DAY_KEYS for r in found] == list(range(1, len(found) + 1))
+        columns = [[(r[c] is not None, r[c]) for c in FACT_ARRIVALS[1:]] for r in found]
+        assert columns == sorted(columns)
+    return {day: len(found) for day, found in by_day.items()}
+
+
+def test_a_load_in_order_numbers_each_days_facts(spark, built, tmp_path, monkeypatch):
+    path, one, daily = (str(tmp_path / n) for n in ("lake", "one", "daily"))
+    for root in (one, daily):
+        shutil.copytree(built / "warehouse", root)
+    # Larger ids come first, some are missing, one row is there forty times, and some arrivals are rejected.
+    rows = [arrival(cicid=float(50 - i), arrdate=20454.0 + i % 2, depdate=None if i % 5 == 0 else 20460.0,
+                    i94port="ZZZ" if i % 7 == 0 else "AAA") for i in range(50)]
+    rows += [arrival(cicid=7.5)] * 40 + [arrival(cicid=None, fltno=str(i)) for i in range(3)]
+    load_lake(raw(spark, *rows[::2]), path, "first")
+    load_lake(raw(spark, *rows[1::2]), path, "second")
+    first, second = FIRST, FIRST + datetime.timedelta(days=1)
+    plain = {r["check"]: r["value"] for r in fact_plans.run_range(spark, path, one, first, second).collect()}
+    assert plain["Arrivals rejected by a dimension"] == 8
+    in_order = {r["check"]: r["value"] for r in fact_plans.run_range(spark, path, one, first, second, ordered=True).collect()}
+    assert in_order == plain
+    found = fact_plans.read_facts(spark, one).collect()
+    day = (first - datetime.date(1960, 1, 1)).days
+    assert ordered_keys(found) == {day: 64, day + 1: 21}
+    # Days loaded one by one, in another order, or anew after a merge of the lake: the same facts under the same keys.
+    deliveries.compact(spark, path)
+    for d in (second, first, second):
+        fact_plans.run_day(spark, path, daily, d, ordered=True)
+    assert content(spark, daily) == sorted(map(str, found))
+    left = pathlib.Path(shared_dir(spark), "landfall")
+    assert not [p for p in left.iterdir() if p.name.startswith("scratch-")]
+
+
+def event_tables(spark, path, events):
+    """Tables that the queries over events read, with ``(event_id, ts, user_id)`` as events."""
+    tables = {
+        "region": ([(0, "AFRICA"), (1, "AMERICA")], "r_regionkey long, r_name string"),
+        "nation": ([(i, f"N{i}", i % 2) for i in range(25)], "n_nationkey long, n_name string, n_regionkey long"),
+        "supplier": ([(i, f"S{i}", i % 25) for i in range(120)], "s_suppkey long, s_name string, s_nationkey long"),
+        "part": ([(i, "large", f"P{i}", 1 + i, "B1") for i in range(9)],
+                 "p_partkey long, p_type string, p_name string, p_size long, p_brand string"),
+        "customer": ([(i, 10.0 * i, "AUTO", i) for i in range(24)],
+                     "c_custkey long, c_acctbal double, c_mktsegment string, c_nationkey long"),
+        "events": ([(e, ts, user, "view", 1.5) for e, ts, user in events],
+                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"),
+    }
+    con = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/{name}.parquet/*.parquet'")
+    return con
+
+
+def test_appended_days_are_numbered_as_their_sql_says(spark, tmp_path):
+    start = datetime.datetime(2024, 1, 1, 5)
+    events = [(e, start + datetime.timedelta(hours=13 * (e % 5)), e * 7) for e in range(80, 0, -1)] + [(27, start, 189)] * 6
+    con = event_tables(spark, str(tmp_path), events)
+    got = queries.QUERIES["load_append_day"](spark, str(tmp_path))
+    assert difference(got, con, oracles.oracle_sql()["load_append_day"]) is None
+    assert len(ordered_keys(got.collect())) == 2
