@@ -128,6 +128,18 @@ def run_range(spark: SparkSession, lake: str, warehouse: str, first: datetime.da
     return report
 
 
+def stretches(spark: SparkSession, lake: str) -> list[tuple[datetime.date, datetime.date]]:
+    """First and last day of each unbroken run of days that the lake has arrivals of. Only footers are read for it."""
+    days = read_lake(spark, lake).select(filed_day().alias("day")).where("day IS NOT NULL").distinct()
+    found: list[tuple[datetime.date, datetime.date]] = []
+    for (day,) in sorted(days.collect()):
+        if found and day - found[-1][1] == datetime.timedelta(days=1):
+            found[-1] = (found[-1][0], day)
+        else:
+            found.append((day, day))
+    return found
+
+
 def run_day(spark: SparkSession, lake: str, warehouse: str, day: datetime.date, ordered: bool = False) -> DataFrame:
     """The daily load: the range of one day."""
     return run_range(spark, lake, warehouse, day, day, ordered)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import schemas
@@ -197,13 +197,6 @@ def _event_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def _by_load_day(loaded: DataFrame) -> DataFrame:
-    """Facts with what SQL can say of their keys, which name a place in a file: the load day, and that no two share one."""
-    day = F.expr(f"immigration_id DIV {facts.DAY_KEYS}").alias("load_day")
-    rows = F.count(F.lit(1)).over(Window.partitionBy("immigration_id")).alias("rows_of_key")
-    return loaded.select(day, rows, *schemas.FACT_ARRIVALS[1:])
-
-
 @query
 def load_append_day(spark, sf_dir):
     """Two daily loads, the first repeated: the repeat changes nothing. A day's facts are numbered in order."""
@@ -215,10 +208,11 @@ def load_append_day(spark, sf_dir):
 
 @query
 def load_backfill(spark, sf_dir):
-    """Every day of the lake in one job."""
+    """Every day of the lake, in one job for all days that follow each other. A day's facts are numbered in order."""
     path, warehouse = _event_lake(spark, sf_dir), _event_warehouse(spark, sf_dir)
-    fact_plans.run_range(spark, path, warehouse, FIRST_EVENT_DAY, LAST_EVENT_DAY)
-    return _by_load_day(fact_plans.read_facts(spark, warehouse))
+    for first, last in fact_plans.stretches(spark, path):
+        fact_plans.run_range(spark, path, warehouse, first, last, ordered=True)
+    return fact_plans.read_facts(spark, warehouse)
 
 
 # ---- dictionaries ----

@@ -381,3 +381,23 @@ def test_appended_days_are_numbered_as_their_sql_says(spark, tmp_path):
     got = queries.QUERIES["load_append_day"](spark, str(tmp_path))
     assert difference(got, con, oracles.oracle_sql()["load_append_day"]) is None
     assert len(ordered_keys(got.collect())) == 2
+
+
+def test_a_backfill_loads_all_days_of_the_lake_and_numbers_their_facts(spark, tmp_path):
+    """Days before and after January, with gaps between them and a fact that is there seven times."""
+    days = [datetime.datetime(2023, 12, 31, 23), datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2, 7),
+            datetime.datetime(2024, 1, 30), datetime.datetime(2024, 2, 29, 12)]
+    events = [(e, days[e % 5], e * 7) for e in range(80, 0, -1)] + [(27, days[2], 189)] * 6
+    con = event_tables(spark, str(tmp_path), events)
+    got = queries.QUERIES["load_backfill"](spark, str(tmp_path))
+    assert difference(got, con, oracles.oracle_sql()["load_backfill"]) is None
+    assert len(ordered_keys(got.collect())) == 5
+
+
+def test_stretches_are_unbroken_days(spark, lake, tmp_path):
+    assert fact_plans.stretches(spark, lake) == [(FIRST, LAST)]
+    path = str(tmp_path / "lake")
+    load_lake(raw(spark, *[arrival(arrdate=float(20454 + d), i94yr=2016.0, i94mon=1.0) for d in (0, 1, 1, 4)],
+                  arrival(arrdate=None)), path, "first")
+    assert fact_plans.stretches(spark, path) == [
+        (FIRST, FIRST + datetime.timedelta(days=1)), (FIRST + datetime.timedelta(days=4),) * 2]
