@@ -48,6 +48,33 @@ def test_units_are_encoded_as_whole_texts_are():
             assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, (name, text)
 
 
+def test_even_texts_are_not_cut_in_python_and_marks_go_to_the_library_once(monkeypatch):
+    rng = random.Random(3)
+    marks = ["###", "$$$", "%%%", "&&&", "***", ".###", "!?", "(", "`~", "\\]^_", ""]
+    words = ["".join(rng.choices("abyzABYZéÑßÿ", k=rng.randint(1, 9))) for _ in range(2000)]
+    texts = ["".join(rng.choice(words) + rng.choice(marks) + rng.choice(" \n") for _ in range(400)) for _ in range(20)]
+    for name in (tokens.BYTE_BPE, tokens.WORD_BPE):
+        own, whole, asked = tokens.UnitEncoder(tokens.tokenizer_path(name)), library(name), []
+        given = own._library
+        monkeypatch.setattr(own, "cut", None)
+        monkeypatch.setattr(own, "_library", lambda units: (asked.extend(units), given(units)))
+        for text, ids in zip([*texts, *texts], own.encode(texts) + own.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, (name, text)
+        assert len(asked) == len(set(asked)) and set(asked) <= {" ", "\n", *marks}
+        assert own.encode([]) == [] and own.encode(["", ""]) == [b"", b""]
+
+
+def test_units_given_up_are_learned_again(monkeypatch):
+    monkeypatch.setattr(tokens, "UNITS_KEPT", 50)
+    for name in (tokens.BYTE_BPE, tokens.WORD_BPE):
+        own, whole = tokens.UnitEncoder(tokens.tokenizer_path(name)), library(name)
+        for k in range(0, 300, 20):
+            texts = [f"the n{i} Word{chr(97 + i % 26) * (i % 7)}. of\n\x00 \x1c{i}\u2003x" for i in range(k, k + 30)]
+            for text, ids in zip(texts, own.encode(texts)):
+                assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, (name, text)
+            assert len(own.kept) <= 300
+
+
 def test_units_cut_by_plain_replacements_are_those_of_the_expressions():
     rng = random.Random(2)
     for letters in ("ab \n", "a  \n\n\t\xa0\x1c\0é\u3000\u2003"):
